@@ -83,14 +83,14 @@ ROUTED_PARTS = [
     ("rules", RULES_SQL),
     ("rule_words", "SELECT rule_idx, category, team, automation, len(keywords) AS n_words, unnest(keywords) AS term FROM rules"),
     (
-        "overlaps",
+        "shared",
         "SELECT cluster, rule_idx, category, team, automation, n_words, count(*) AS overlap "
         "FROM ranked JOIN rule_words USING (term) GROUP BY ALL",
     ),
     (
         "best",
         "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY overlap DESC, rule_idx) AS place "
-        "FROM overlaps) x WHERE place = 1",
+        "FROM shared) x WHERE place = 1",
     ),
     ("tops", "SELECT cluster, string_agg(term, ', ' ORDER BY rank) AS top_keywords FROM ranked WHERE rank <= 5 GROUP BY cluster"),
     (

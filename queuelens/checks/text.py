@@ -36,7 +36,7 @@ def clean_texts(spark, folder):
 @query("load_snapshot", "SELECT doc_id, lang, source, n_chars, length(text) AS text_length FROM documents")
 def load_snapshot(spark, folder):
     config = settings({"data": {"source": "parquet", "key": "doc_id", "text_columns": ["source", "text"],
-                                "metadata_columns": {"channel": "lang", "product": "source"}}})
+                                "metadata_columns": {"channel": "lang", "product": "source", "priority": "n_chars", "ticket_type": "lang"}}})
     df = load_data(spark, f"{folder}/documents.parquet", config)
     return df.select("doc_id", "lang", "source", "n_chars", F.length("text").cast("bigint").alias("text_length"))
 
@@ -153,7 +153,7 @@ def _ranked(spark, folder):
 
 @query(
     "rule_overlaps",
-    with_tickets(*KEYWORD_PARTS, *ROUTED_PARTS) + "SELECT cluster, CAST(rule_idx AS INTEGER) AS rule_idx, category, overlap FROM overlaps",
+    with_tickets(*KEYWORD_PARTS, *ROUTED_PARTS) + "SELECT cluster, CAST(rule_idx AS INTEGER) AS rule_idx, category, overlap FROM shared",
 )
 def rule_overlaps(spark, folder):
     rules = routing.rule_table(spark, TEST_RULES)

@@ -19,9 +19,9 @@ def combined(first: Column, second: Column, separator: str = " ") -> Column:
 
 
 def cleaned(text: Column) -> Column:
-    """Lower case, only ``a-z0-9`` and single blanks."""
-    kept = F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " ")
-    return F.trim(F.regexp_replace(kept, r"\s+", " "))
+    """Lower case, only ``a-z0-9`` and single blanks: any run of other characters,
+    white space among them, becomes one blank in a single pass."""
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
 def word_count(text: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from queuelens.functions import text as tx
 from queuelens.functions.lookup import join_lookup
+from queuelens.functions.text import let
 
 
 def term_counts(df: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_words=None, keep_empty=False) -> DataFrame:
@@ -21,9 +22,10 @@ def term_counts(df: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_wor
     low, high = ngram_range
     words = tx.without(tx.tokens(tx.blank_if_null(F.col(text))), stop_words or [])
     listed = df.select(key, tx.counts(tx.ngrams(words, low, high)).alias("terms"))
-    explode = F.explode_outer if keep_empty else F.explode
-    rows = listed.select(key, explode("terms").alias("t"))
-    return rows.select(key, F.col("t.value").alias("term"), F.col("t.n").alias("tf"))
+    # A plain explode makes the optimizer add a filter that counts the terms again.
+    rows = listed.select(key, F.explode_outer("terms").alias("t"))
+    rows = rows.select(key, F.col("t.value").alias("term"), F.col("t.n").alias("tf"))
+    return rows if keep_empty else rows.filter(F.col("term").isNotNull())
 
 
 def corpus_frequencies(counts: DataFrame) -> DataFrame:
@@ -64,11 +66,12 @@ def text_vectors(counts: DataFrame, vocab: DataFrame, key: str, sublinear: bool
     weight = (1 + F.log(tf) if sublinear else tf) * F.col("idf")
     entry = F.when(F.col("idf").isNotNull(), F.struct(*extra, weight.alias("weight")))
     grouped = known.groupBy(key).agg(F.collect_list(entry).alias("raw"))
-    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"]))
-    return grouped.withColumn("norm", norm).select(
-        key,
-        F.transform("raw", lambda e: e.withField("weight", e["weight"] / F.col("norm"))).alias("entries"),
+    squares = F.aggregate("raw", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"])
+    entries = let(
+        F.sqrt(squares),
+        lambda norm: F.transform("raw", lambda e: e.withField("weight", e["weight"] / norm)),
     )
+    return grouped.select(key, entries.alias("entries"))
 
 
 def transform(df: DataFrame, vocab: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_words=None, sublinear=False) -> DataFrame:
@@ -77,8 +80,8 @@ def transform(df: DataFrame, vocab: DataFrame, key: str, text: str, ngram_range=
     placed = df.select(key, text).repartition(key)
     counts = term_counts(placed, key, text, ngram_range, stop_words)
     vectors = text_vectors(counts, vocab.select("term", "idf"), key, sublinear)
-    rows = vectors.select(key, F.explode("entries").alias("e"))
-    return rows.select(key, "e.term", "e.weight")
+    rows = vectors.select(key, F.explode_outer("entries").alias("e"))
+    return rows.select(key, "e.term", "e.weight").filter(F.col("term").isNotNull())
 
 
 def fit_transform(df: DataFrame, key: str, text: str, max_features=None, ngram_range=(1, 1), stop_words=None, sublinear=False) -> DataFrame:
