@@ -303,7 +303,7 @@ def parameter_advice(spark, folder):
   (SELECT round(100.0 * max(n) / sum(n), 1)::DOUBLE FROM (SELECT count(*) AS n FROM tickets WHERE priority IS NOT NULL GROUP BY priority) p) AS priority_max_pct,
   (SELECT CASE WHEN 100.0 * max(n) / sum(n) > 50 THEN 'SKEWED' ELSE 'BALANCED' END FROM (SELECT count(*) AS n FROM tickets WHERE priority IS NOT NULL GROUP BY priority) p) AS priority_skew,
   count(DISTINCT type) AS k_low, 3 * count(DISTINCT type) AS k_high, greatest(30, count(*) // 200) AS min_cluster_size,
-  0::BIGINT AS duplicates
+  (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM tickets GROUP BY subject, body, type, queue, priority, language, tag_1, tag_2, tag_3) g) AS duplicates
 FROM lengths""",
 )
 def insights(spark, folder):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from queuelens.config import key_column
 from queuelens.operators.prepare import with_lengths
 
 PRIORITY_ORDER = ["low", "medium", "high"]
@@ -271,5 +272,5 @@ def insights(df: DataFrame, config: dict) -> DataFrame:
         advice.select("k_low").scalar().alias("k_low"),
         advice.select("k_high").scalar().alias("k_high"),
         advice.select("min_cluster_size").scalar().alias("min_cluster_size"),
-        duplicate_rows(df).scalar().alias("duplicates"),
+        duplicate_rows(df, [c for c in df.columns if c != key_column(config)]).scalar().alias("duplicates"),
     )
