@@ -6,11 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _row_bytes(df: DataFrame):
+    """Bytes of one row: text and vectors by length, anything else as 16."""
+    total = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = F.octet_length(column).cast("bigint")
+        elif kind in ("array<double>", "array<float>", "array<bigint>", "array<int>"):
+            size = F.size(column).cast("bigint") * 8
+        elif kind == "array<string>":
+            size = F.octet_length(F.array_join(column, ",")).cast("bigint")
+        else:
+            size = F.lit(16).cast("bigint")
+        total = total + F.coalesce(size, F.lit(0).cast("bigint"))
+    return total
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` is small in rows and in bytes. Reads no further than ``max_rows``."""
+    rows, size = df.limit(max_rows + 1).select(_row_bytes(df).alias("b")).agg(F.count("*"), F.sum("b")).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -1,0 +1,196 @@
+"""Exact neighbour searches over a table of vectors, by pruned cells.
+
+Points are placed in the cell of their nearest pivot (a bounded random sample). A query
+visits its own cell first; what it finds there bounds the distance it still needs, and
+the triangle inequality rules out most other cells. Rows meet by an equi join on the
+cell. Big cells and busy cells are cut into slices, so a task holds at most
+``SLICE_ROWS`` points and as many queries.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from queuelens.functions import vectors as vx
+from queuelens.session import materialise
+
+CELL_ROWS = 2000
+SLICE_ROWS = 20_000
+MAX_PIVOTS = 2000
+PIVOT_BYTES = 64 * 1024 * 1024
+CHUNK = 256
+
+
+def distinct_points(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes (node, mult, vec), one per different vector, and members (key, node).
+
+    Copies are counted map-side, so a vector that a third of the rows share is one node.
+    """
+    keyed = df.select(key, F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0)).alias("vec"))
+    keyed = keyed.withColumn("print", vx.fingerprint(F.col("vec"))).select(key, "vec", "print.h1", "print.h2")
+    groups = keyed.groupBy("h1", "h2").agg(F.min(key).alias("node"), F.count("*").alias("mult"), F.first("vec").alias("vec"))
+    groups = materialise(groups, "nodes")
+    members = keyed.select(key, "h1", "h2").join(groups.select("h1", "h2", "node"), ["h1", "h2"]).select(key, "node")
+    return groups.select("node", "mult", "vec"), members
+
+
+def stacked(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(float, copy=False)
+
+
+def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * a @ b.T, 0)
+
+
+@dataclass
+class Space:
+    """Placed points (node, mult, vec, cell, near) and what is known of each cell."""
+
+    points: DataFrame
+    n_nodes: int
+    n_rows: int
+    pivot_nodes: list
+    pivots: np.ndarray
+    counts: list
+    inner: np.ndarray
+    outer: np.ndarray
+
+    @property
+    def cells(self) -> int:
+        return len(self.counts)
+
+
+def build(nodes: DataFrame, cell_rows: int = CELL_ROWS) -> Space:
+    """Choose pivots and place every node. ``nodes`` should be materialised."""
+    spark = nodes.sparkSession
+    totals = nodes.agg(F.count("*").alias("n"), F.sum("mult").alias("rows"), F.max(F.size("vec")).alias("dim")).first()
+    n, dim = totals.n, max(1, totals.dim or 1)
+    wanted = max(1, min(MAX_PIVOTS, PIVOT_BYTES // (8 * dim), n // cell_rows))
+    chosen = nodes.orderBy(F.xxhash64(F.lit(11), "node"), "node").limit(wanted).collect()
+    pivots = np.array([r.vec for r in chosen], dtype=float)
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def place(frames):
+        for frame in frames:
+            d = np.sqrt(squared_distances(stacked(frame["vec"]), shared.value))
+            cell = d.argmin(1)
+            yield frame.assign(cell=cell.astype("int32"), near=d[np.arange(len(d)), cell])
+
+    placed = nodes.mapInPandas(place, "node bigint, mult bigint, vec array<double>, cell int, near double")
+    points = materialise(placed.repartition("cell") if wanted > 1 else placed, "points")
+    stats = {r.cell: r for r in points.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("near").alias("inner"), F.max("near").alias("outer")).collect()}
+    counts = [stats[c].n if c in stats else 0 for c in range(wanted)]
+    inner = np.array([stats[c].inner if c in stats else 0.0 for c in range(wanted)])
+    outer = np.array([stats[c].outer if c in stats else 0.0 for c in range(wanted)])
+    return Space(points, n, totals.rows, [r.node for r in chosen], pivots, counts, inner, outer)
+
+
+def other_cells(space: Space, queries: DataFrame) -> DataFrame:
+    """One copy of each query per further cell that may hold a point within its ``bound``."""
+    between = np.sqrt(squared_distances(space.pivots, space.pivots))
+    shared = queries.sparkSession.sparkContext.broadcast(
+        (space.pivots, between, space.inner, space.outer, np.array(space.counts) > 0)
+    )
+
+    def route(frames):
+        pivots, between, inner, outer, filled = shared.value
+        for frame in frames:
+            for start in range(0, len(frame), 4096):
+                part = frame.iloc[start : start + 4096]
+                d = np.sqrt(squared_distances(stacked(part["vec"]), pivots))
+                own = part["cell"].to_numpy()
+                gap = between[own]
+                near = part["near"].to_numpy()[:, None]
+                plane = np.divide(d**2 - near**2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+                least = np.maximum.reduce([d - outer, inner - d, plane])
+                bound = part["bound"].to_numpy()[:, None]
+                keep = filled[None, :] & (least <= bound + 1e-7 * (1 + np.minimum(bound, 1e9)))
+                keep[np.arange(len(part)), own] = False
+                row, cell = np.nonzero(keep)
+                if len(row):
+                    yield part.iloc[row].assign(cell=cell.astype("int32"))
+
+    return queries.mapInPandas(route, queries.schema)
+
+
+def cogrouped(left: DataFrame, right: DataFrame, names: list[str], kernel, schema: str) -> DataFrame:
+    """``kernel(left, right)`` per group of both tables.
+
+    Both may stem from one table: new column identities keep them apart.
+    """
+    left, right = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (left, right))
+    return left.groupBy(*names).cogroup(right.groupBy(*names)).applyInPandas(kernel, schema)
+
+
+def visit(space: Space, queries: DataFrame, points: DataFrame, kernel, schema: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Run ``kernel(points, queries)`` for every cell, sliced on both sides.
+
+    Each query of a cell meets each point of the cell in exactly one task.
+    """
+    point_slices = [max(1, math.ceil(c / slice_rows)) for c in space.counts]
+    query_slices = [1] * space.cells
+    if space.n_nodes > slice_rows:
+        for cell, n in queries.groupBy("cell").count().collect():  # one row per cell
+            query_slices[cell] = max(1, math.ceil(n / slice_rows))
+    per_cell_points, per_cell_queries = F.lit(point_slices)[F.col("cell")], F.lit(query_slices)[F.col("cell")]
+
+    def own_slice(count):
+        return F.pmod(F.xxhash64("node"), count.cast("bigint")).cast("int")
+
+    def every_slice(count):
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    left = points.withColumn("ps", own_slice(per_cell_points)).withColumn("qs", every_slice(per_cell_queries))
+    right = queries.withColumn("qs", own_slice(per_cell_queries)).withColumn("ps", every_slice(per_cell_points))
+    return cogrouped(left, right, ["cell", "ps", "qs"], kernel, schema)
+
+
+def core_distances(space: Space, ks: list[int], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(node, core_<k>) with the distance to the k-th nearest other row, for each k."""
+    real = {k: max(1, min(k, space.n_rows - 1)) for k in ks}
+    most = max(real.values()) + 1  # the row itself is found too
+
+    def nearest(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(points) or not len(queries):
+            return pd.DataFrame({"node": [], "dist": [], "mult": []}).astype({"node": "int64", "mult": "int64"})
+        b, mult, m = stacked(points["vec"]), points["mult"].to_numpy(), min(most, len(points))
+        out = []
+        for start in range(0, len(queries), CHUNK):
+            part = queries.iloc[start : start + CHUNK]
+            a = stacked(part["vec"])
+            at = np.argpartition(squared_distances(a, b), m - 1, axis=1)[:, :m]
+            dist = np.sqrt(((b[at] - a[:, None, :]) ** 2).sum(-1))
+            keep = dist <= part["bound"].to_numpy()[:, None]
+            out.append(pd.DataFrame({"node": np.repeat(part["node"].to_numpy(), keep.sum(1)), "dist": dist[keep], "mult": mult[at][keep]}))
+        return pd.concat(out)
+
+    schema = "node bigint, dist double, mult bigint"
+
+    def reached(found: DataFrame) -> DataFrame:
+        """Nearest entries of each node with the rows counted up to there."""
+        from pyspark.sql import Window
+
+        by_distance = Window.partitionBy("node").orderBy("dist")
+        first = found.withColumn("place", F.row_number().over(by_distance)).filter(F.col("place") <= most)
+        upto = Window.partitionBy("node").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+        return first.withColumn("rows", F.sum("mult").over(upto))
+
+    queries = space.points.withColumn("bound", F.lit(float("inf")))
+    found = visit(space, queries, space.points, nearest, schema, slice_rows)
+    if space.cells > 1:
+        found = materialise(found, "own-neighbours")
+        limit = reached(found).groupBy("node").agg(F.min(F.when(F.col("rows") >= most, F.col("dist"))).alias("bound"))
+        bounded = space.points.join(limit, "node", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+        bounded = bounded.select(queries.columns)
+        wider = materialise(other_cells(space, bounded), "routed")
+        found = found.unionByName(visit(space, wider, space.points, nearest, schema, slice_rows))
+    return reached(found).groupBy("node").agg(
+        *[F.min(F.when(F.col("rows") >= real[k] + 1, F.col("dist"))).alias(f"core_{k}") for k in ks]
+    )
