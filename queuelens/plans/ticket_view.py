@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from queuelens.sources.tickets import spread
+
 
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{folder}/documents.parquet"))
     marks = spark.read.parquet(f"{folder}/labels.parquet")
     joined = docs.join(marks, "doc_id", "left")
     size = F.col("n_chars")

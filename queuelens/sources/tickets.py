@@ -11,6 +11,15 @@ from queuelens.functions.words import NA_TOKENS
 from queuelens.session import materialise
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a freshly read table out to all cores if its files are fewer.
+
+    Text work is heavy per row. A table of many files is left as it lies.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _missing_path(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (error.getCondition() or str(error))
 
@@ -66,4 +75,4 @@ def load_data(spark: SparkSession, path: str | None, config: dict) -> DataFrame:
         if _missing_path(error):
             raise FileNotFoundError(f"Dataset not found at {path}") from error
         raise
-    return with_key(check_columns(df, config), key_column(config))
+    return spread(with_key(check_columns(df, config), key_column(config)))
