@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 
 def long_form(df, key: str, column: str, digits: int = 7):
     """One row (key, dim, value) per entry that is not 0."""
-    rows = df.select(key, F.posexplode(column).alias("dim", "value"))
+    rows = df.select(key, F.posexplode_outer(column).alias("dim", "value"))
     return rows.select(key, "dim", (F.round("value", digits) + F.lit(0.0)).alias("value")).filter("value <> 0")
 
 

@@ -104,7 +104,8 @@ def analysis_runs(spark, folder):
 
 @query("routed_tickets")
 def routed_tickets(spark, folder):
-    ready = plan.prepared(tickets(spark, folder), settings({"embeddings": {"tag_enrichment": {"enabled": False}}}))
+    ready = plan.prepared(tickets(spark, folder), settings(
+        {"embeddings": {"tag_enrichment": {"enabled": False}}, "imputation": {"enabled": False}}))
     vectors = ready.select(KEY, F.col("semantic").alias("vector"))
     labels = kmeans.kmeans(vectors, KEY, CONFIG["clustering"]["kmeans"])
     routed = route_tickets(tickets(spark, folder), kmeans.centroids(vectors.join(labels, KEY)), CONFIG)

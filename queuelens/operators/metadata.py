@@ -45,7 +45,9 @@ def with_frequency(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def vector_ranges(df: DataFrame, column: str) -> DataFrame:
     """(dim, low, high) over all rows of a vector column."""
-    return df.select(F.posexplode(column).alias("dim", "x")).groupBy("dim").agg(
+    # The outer form, lest the optimizer add a filter that builds each vector twice more.
+    rows = df.select(F.posexplode_outer(column).alias("dim", "x")).filter(F.col("dim").isNotNull())
+    return rows.groupBy("dim").agg(
         F.min("x").alias("low"), F.max("x").alias("high")
     )
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from queuelens.functions import vectors as vx
 from queuelens.session import materialise
 
-CELL_ROWS = 2000
+CELL_ROWS = 1000
 SLICE_ROWS = 20_000
 MAX_PIVOTS = 2000
 PIVOT_BYTES = 64 * 1024 * 1024
