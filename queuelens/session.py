@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 
+_local_folders: dict[str, str] = {}  # local sessions without a configured folder
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
     """A local session for tests and the bench."""
     builder = (
@@ -41,11 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if context.applicationId in _local_folders:
+        return _local_folders[context.applicationId]
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="queuelens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="queuelens-"))
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

@@ -10,6 +10,7 @@ from queuelens.operators.embed import generate_embeddings
 from queuelens.plans import run as plan
 from queuelens.plans import sweeps
 from queuelens.plans.ticket_view import tickets
+from queuelens.session import shared_folder
 from queuelens.streaming.route import route_tickets, start_routing
 
 KEY = "ticket_id"
@@ -78,16 +79,24 @@ def test_sweeps(spark, folder):
     assert plane.count() == points.count() and plane.columns == [KEY, "x", "y"]
 
 
-def test_checkpoint_folder_of_the_session_is_used(spark, tmp_path):
-    from queuelens import session
+class Settings:
+    """A session that names a checkpoint folder, or none, on a given master."""
 
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        session.materialise(spark.range(3).selectExpr("id"), "probe")
-        assert list((tmp_path / "shared").glob("probe-*"))
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+    def __init__(self, folder, master):
+        self.conf = self.sparkContext = self
+        self.folder, self.master, self.applicationId = folder, master, "app-probe"
+
+    def get(self, name, default=None):
+        assert name == "spark.checkpoint.dir"
+        return self.folder
+
+    def getConf(self):
+        return self
+
+
+def test_checkpoint_folder():
+    assert shared_folder(Settings("hdfs://x/ck/", "yarn")) == "hdfs://x/ck"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Settings(None, "yarn"))
+    local = Settings(None, "local[2]")
+    assert shared_folder(local) == shared_folder(local)
