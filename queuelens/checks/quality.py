@@ -205,9 +205,8 @@ def _run_sql(run: str, labels: str) -> str:
 def run_summary(spark, folder):
     vectors, out = _vectors(spark, folder), None
     for run, labels in (("by_source", given_labels(spark, folder)), ("by_language", language_labels(spark, folder))):
-        value = sil.silhouette(sil.sample_points(vectors.join(labels, KEY), KEY, 5000))
-        result = evaluate.Evaluation(value, evaluate.keywords.cluster_sizes(labels), None)
-        part = evaluate.run_report(result, run)
+        value = evaluate.run_silhouette(vectors, labels, CONFIG)
+        part = evaluate.run_report(evaluate.keywords.cluster_sizes(labels), run, value)
         out = part if out is None else out.unionByName(part)
     return out.withColumn("silhouette", F.round("silhouette", 5))
 

@@ -12,18 +12,25 @@ NOISE = -1
 SCORE_DIGITS = 9
 
 
+def group_columns(df: DataFrame) -> list[str]:
+    """What names a group: the cluster, and its run where several are looked at together."""
+    return [c for c in ("run", "cluster") if c in df.columns]
+
+
 def cluster_sizes(labels: DataFrame) -> DataFrame:
     """Rows per cluster, noise (-1) included."""
-    return labels.groupBy("cluster").agg(F.count("*").alias("size"))
+    return labels.groupBy(*group_columns(labels)).agg(F.count("*").alias("size"))
 
 
 def term_means(weights: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Mean weight of each term over all texts of a cluster; absent terms count as 0."""
-    members = labels.filter(F.col("cluster") != NOISE).select(key, "cluster")
-    sums = weights.join(members, key).groupBy("cluster", "term").agg(F.sum("weight").alias("total"))
-    return sums.join(cluster_sizes(members), "cluster").select(
-        "cluster", "term", (F.col("total") / F.col("size")).alias("score")
-    )
+    """Mean weight of each term over all texts of a cluster; absent terms count as 0.
+
+    ``labels`` may hold several runs: the weights are then read and placed once for all.
+    """
+    group = group_columns(labels)
+    members = labels.filter(F.col("cluster") != NOISE).select(key, *group)
+    sums = weights.join(members, key).groupBy(*group, "term").agg(F.sum("weight").alias("total"))
+    return sums.join(cluster_sizes(members), group).select(*group, "term", (F.col("total") / F.col("size")).alias("score"))
 
 
 def ranked_keywords(means: DataFrame, top_n: int) -> DataFrame:
@@ -32,15 +39,16 @@ def ranked_keywords(means: DataFrame, top_n: int) -> DataFrame:
     Order is by the score at 9 digits, then by term, so sums taken in another order
     rank alike. Terms a cluster does not hold are not listed.
     """
-    order = Window.partitionBy("cluster").orderBy(F.desc(F.round("score", SCORE_DIGITS)), "term")
+    group = group_columns(means)
+    order = Window.partitionBy(*group).orderBy(F.desc(F.round("score", SCORE_DIGITS)), "term")
     ranked = means.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_n)
-    return ranked.select("cluster", "rank", "term", "score")
+    return ranked.select(*group, "rank", "term", "score")
 
 
 def keyword_lists(ranked: DataFrame) -> DataFrame:
     """One row (cluster, keywords) with the terms in rank order (at most top-n each)."""
     pairs = F.sort_array(F.collect_list(F.struct("rank", "term")))
-    return ranked.groupBy("cluster").agg(F.transform(pairs, lambda p: p["term"]).alias("keywords"))
+    return ranked.groupBy(*group_columns(ranked)).agg(F.transform(pairs, lambda p: p["term"]).alias("keywords"))
 
 
 def text_weights(texts: DataFrame, key: str, config: dict, text: str = "text") -> DataFrame:

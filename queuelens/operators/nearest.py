@@ -1,26 +1,31 @@
-"""Assign vectors to the nearest of a few centroids, in batch or on a stream."""
+"""Assign vectors to the nearest centroid, in batch or on a stream."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuelens.functions import text as tx
 from queuelens.functions import vectors as vx
-from queuelens.functions.lookup import bounded_rows
 
-MAX_CENTROIDS = 10_000
+LITERAL_NUMBERS = 50_000
+MATRIX_NUMBERS = 32_000_000
 
 
-def centroid_literal(centroids: DataFrame) -> Column:
-    """The centroids (cluster, centroid) as one array of unit vectors; their number is checked."""
-    unit = centroids.select(F.col("cluster").cast("int"), vx.l2_normalised(F.col("centroid")).alias("centroid"))
-    rows = sorted(bounded_rows(unit, MAX_CENTROIDS, "centroids"))
-    return F.array(*[F.struct(F.lit(r.cluster).alias("cluster"), F.lit(list(r.centroid)).alias("unit")) for r in rows])
+def unit_centroids(centroids: DataFrame, max_numbers: int = MATRIX_NUMBERS) -> list:
+    """The centroids (cluster, centroid) at unit length by cluster; their size is checked first."""
+    n, dim = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
+    if n * (dim or 0) > max_numbers:
+        raise ValueError(f"{n} centroids of {dim} numbers are too many to send to every task")
+    unit = centroids.select(F.col("cluster").cast("int"), vx.l2_normalised(F.col("centroid")).alias("unit"))
+    return sorted(unit.collect())
 
 
-def nearest(vector: Column, table: Column) -> Column:
+def nearest(vector: Column, rows: list) -> Column:
     """Struct (cosine, cluster) of the most similar centroid, the lower cluster on ties."""
+    table = F.array(*[F.struct(F.lit(r.cluster).alias("cluster"), F.lit(list(r.unit)).alias("unit")) for r in rows])
     scores = tx.let(
         vx.l2_normalised(vector),
         lambda v: F.transform(
@@ -30,7 +35,24 @@ def nearest(vector: Column, table: Column) -> Column:
     return tx.let(F.array_max(scores), lambda s: F.struct(s["cosine"].alias("cosine"), (-s["minus_cluster"]).alias("cluster")))
 
 
-def assign(df: DataFrame, centroids: DataFrame, vector: str = "semantic") -> DataFrame:
-    """Add ``cluster`` and ``cosine`` of the nearest centroid."""
-    found = df.withColumn("_nearest", nearest(F.col(vector), centroid_literal(centroids)))
+def nearest_by_matrix(vector: Column, rows: list) -> Column:
+    """:func:`nearest` for long centroid lists, one matrix product per Arrow batch."""
+    matrix, names = np.array([r.unit for r in rows]), np.array([r.cluster for r in rows], dtype="int32")
+
+    @F.pandas_udf("cosine double, cluster int")
+    def score(vectors: pd.Series) -> pd.DataFrame:
+        stack = np.stack(vectors.to_numpy())
+        norms = np.linalg.norm(stack, axis=1, keepdims=True)
+        cosines = stack / np.where(norms == 0, 1, norms) @ matrix.T
+        best = cosines.argmax(1)
+        return pd.DataFrame({"cosine": cosines[np.arange(len(best)), best], "cluster": names[best]})
+
+    return score(vector)
+
+
+def assign(df: DataFrame, centroids: DataFrame, vector: str = "semantic", literal_numbers: int = LITERAL_NUMBERS) -> DataFrame:
+    """Add ``cluster`` and ``cosine`` of the nearest centroid. A short list stays in the JVM."""
+    rows = unit_centroids(centroids)
+    small = sum(len(r.unit) for r in rows) <= literal_numbers
+    found = df.withColumn("_nearest", (nearest if small else nearest_by_matrix)(F.col(vector), rows))
     return found.withColumns({"cluster": F.col("_nearest.cluster"), "cosine": F.col("_nearest.cosine")}).drop("_nearest")

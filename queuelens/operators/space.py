@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuelens.functions import vectors as vx
+from queuelens.functions.lookup import join_lookup
 from queuelens.session import materialise
 
 CELL_ROWS = 1000
@@ -36,7 +37,7 @@ def distinct_points(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, Da
     keyed = keyed.withColumn("print", vx.fingerprint(F.col("vec"))).select(key, "vec", "print.h1", "print.h2")
     groups = keyed.groupBy("h1", "h2").agg(F.min(key).alias("node"), F.count("*").alias("mult"), F.first("vec").alias("vec"))
     groups = materialise(groups, "nodes")
-    members = keyed.select(key, "h1", "h2").join(groups.select("h1", "h2", "node"), ["h1", "h2"]).select(key, "node")
+    members = join_lookup(keyed.select(key, "h1", "h2"), groups.select("h1", "h2", "node"), ["h1", "h2"], "inner").select(key, "node")
     return groups.select("node", "mult", "vec"), members
 
 
@@ -175,8 +176,6 @@ def core_distances(space: Space, ks: list[int], slice_rows: int = SLICE_ROWS) ->
 
     def reached(found: DataFrame) -> DataFrame:
         """Nearest entries of each node with the rows counted up to there."""
-        from pyspark.sql import Window
-
         by_distance = Window.partitionBy("node").orderBy("dist")
         first = found.withColumn("place", F.row_number().over(by_distance)).filter(F.col("place") <= most)
         upto = Window.partitionBy("node").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
