@@ -21,6 +21,7 @@ from queuelens.config import key_column
 from queuelens.functions import text as tx
 from queuelens.functions import vectors as vx
 from queuelens.functions.lookup import join_lookup
+from queuelens.session import materialise
 from queuelens.sources.store import embed_with_store, text_key
 
 UNKNOWN = "Unknown"
@@ -148,6 +149,6 @@ def enrich_with_tag_embeddings(df: DataFrame, config: dict, embedder=None, name:
     column, weight = cfg["column"], cfg.get("weight", 1.0)
     embedder = embedder or embedder_for(config)
     lookup = embedder.add(distinct_tags(df, column), "tag", "_tag_vec").select(F.col("tag").alias(column), "_tag_vec")
-    found = join_lookup(df, lookup, column)
+    found = join_lookup(df, materialise(lookup, "tag-vectors"), column)
     scaled = F.coalesce(vx.scaled(F.col("_tag_vec"), weight), vx.zeros(embedder.dim))
     return found.withColumn(name, F.concat(name, scaled)).select(*df.columns)

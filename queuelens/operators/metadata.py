@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from queuelens.functions.lookup import bounded_rows, join_lookup
 from queuelens.operators.profile import value_shares
+from queuelens.session import materialise
 
 MAX_CATEGORIES = 1000
 
@@ -40,7 +41,7 @@ def one_hot(column: Column, values: list[str]) -> Column:
 def with_frequency(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add the share that a row's value has among the non-null rows; 0 for null."""
     shares = value_shares(df, column).select(F.col("value").alias(column), F.col("share").alias(name))
-    return join_lookup(df, shares, column).withColumn(name, F.coalesce(name, F.lit(0.0)))
+    return join_lookup(df, materialise(shares, "shares"), column).withColumn(name, F.coalesce(name, F.lit(0.0)))
 
 
 def vector_ranges(df: DataFrame, column: str) -> DataFrame:

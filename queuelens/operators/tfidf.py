@@ -6,12 +6,13 @@ frequencies, combined map-side) and one by key (the vector of a text).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuelens.functions import text as tx
 from queuelens.functions.lookup import join_lookup
 from queuelens.functions.text import let
+from queuelens.session import materialise
 
 
 def term_counts(df: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_words=None, keep_empty=False) -> DataFrame:
@@ -52,11 +53,6 @@ def fit(df: DataFrame, key: str, text: str, max_features=None, ngram_range=(1, 1
     return with_idf(vocabulary(corpus_frequencies(counts), max_features), df)
 
 
-def numbered(vocab: DataFrame) -> DataFrame:
-    """Add ``idx``, the place of the term in alphabetical order (vocabulary-sized window)."""
-    return vocab.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
-
-
 def text_vectors(counts: DataFrame, vocab: DataFrame, key: str, sublinear: bool = False, vocab_rows: int = 50_000) -> DataFrame:
     """One row (key, entries) per text, where entries hold the vocabulary columns and
     the L2-normalised ``weight``. Texts enter with at least one row in ``counts``."""
@@ -86,5 +82,6 @@ def transform(df: DataFrame, vocab: DataFrame, key: str, text: str, ngram_range=
 
 def fit_transform(df: DataFrame, key: str, text: str, max_features=None, ngram_range=(1, 1), stop_words=None, sublinear=False) -> DataFrame:
     """Fit on ``df`` and return its weights (key, term, weight)."""
-    vocab = fit(df, key, text, max_features, ngram_range, stop_words)
+    # Stored, so that measuring and broadcasting it does not read the texts again.
+    vocab = materialise(fit(df, key, text, max_features, ngram_range, stop_words), "vocabulary")
     return transform(df, vocab, key, text, ngram_range, stop_words, sublinear)

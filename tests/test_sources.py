@@ -52,7 +52,7 @@ def test_snapshot_export_and_reload(spark, csv_file, tmp_path):
     sinks.write_tickets(df, str(tmp_path / "snap"))
     back = load_data(spark, str(tmp_path / "snap"), settings({"data": {**CONFIG["data"], "source": "parquet"}}))
     assert sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
-    sinks.export_csv(df, str(tmp_path / "csv"))
+    sinks.export_snapshot(spark, str(tmp_path / "snap"), str(tmp_path / "csv"))
     again = read_csv(spark, str(tmp_path / "csv"))
     assert {r.Details for r in again.collect()} == {r.Details for r in df.collect()}
 
