@@ -21,7 +21,7 @@ from queuelens.functions import vectors as vx
 from queuelens.functions.lookup import join_lookup
 from queuelens.session import materialise
 
-CELL_ROWS = 1000
+CELL_ROWS = 2000
 SLICE_ROWS = 20_000
 MAX_PIVOTS = 2000
 PIVOT_BYTES = 64 * 1024 * 1024
@@ -84,7 +84,7 @@ def build(nodes: DataFrame, cell_rows: int = CELL_ROWS) -> Space:
             yield frame.assign(cell=cell.astype("int32"), near=d[np.arange(len(d)), cell])
 
     placed = nodes.mapInPandas(place, "node bigint, mult bigint, vec array<double>, cell int, near double")
-    points = materialise(placed.repartition("cell") if wanted > 1 else placed, "points")
+    points = materialise(placed, "points")
     stats = {r.cell: r for r in points.groupBy("cell").agg(
         F.count("*").alias("n"), F.min("near").alias("inner"), F.max("near").alias("outer")).collect()}
     counts = [stats[c].n if c in stats else 0 for c in range(wanted)]

@@ -93,3 +93,11 @@ def test_lookup_join_gives_the_same_rows_either_way(spark):
     assert fits(small) and not fits(small, max_rows=4) and not fits(small, max_bytes=10)
     with pytest.raises(ValueError, match="more than 4 things"):
         bounded_rows(small, 4, "things")
+
+
+def test_audits_read_only_their_columns(spark, folder):
+    from queuelens.operators import profile
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plan = profile.value_counts(docs, "source")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<source:string>" in plan and "IsNotNull(source)" in plan and plan.count("partial_count") == 1
