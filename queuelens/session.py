@@ -66,3 +66,16 @@ def materialise(df: DataFrame, name: str, schema: T.StructType | None = None) ->
     path = new_table_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table written by this session, wherever its file system is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_table(df: DataFrame) -> None:
+    """Delete the files that a table made by ``materialise`` lies in."""
+    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+    for folder in folders:
+        remove(df.sparkSession, folder)
