@@ -1 +1,68 @@
-QUERIES, SQL = {}, {}
+"""A corpus pipeline: documents in, files of token ids out.
+
+Each stage works on all that the one before kept. ``run`` writes a stage's rows as Parquet in
+the shared folder and reads them again as the next stage's documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from queuelens.llm import leaks, line_field, mixing, simhash, tokens
+from queuelens.llm.common import table
+from queuelens.llm.queries import BLOCK_WORDS, END_ID, tokenizer_path
+from queuelens.session import materialise
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that the line field takes for good ones."""
+    field = line_field.learn(docs, table(spark, sf_dir, "labels"))
+    scored = line_field.score(docs, field, column="_score")
+    return scored.where(F.col("_score") >= line_field.THRESHOLD).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates, that with the least id."""
+    return simhash.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that hold no benchmark item."""
+    found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("_items") == 0).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: a row per document and pass, with the words that the pass takes."""
+    plan = mixing.plan_mix(docs, block_words=BLOCK_WORDS)
+    return mixing.mixed_texts(docs, plan, BLOCK_WORDS)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes ids in files and returns each document's row, read from the files."""
+    return tokens.read_ids(spark, tokens.write_ids(docs, tokenizer_path(), END_ID))
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("mixing to target weights", mix),
+    ("token ids", token_ids),
+]
+
+#: None: fitted weights, fingerprints, edit distances, draws and a tokenizer are beyond SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``; returns the last one's rows."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return docs
+
+
+QUERIES = {"pipeline": run}
+SQL = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

@@ -296,7 +296,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, keep_payload: bool =
                 if count != expected:
                     raise WarcError(f"{path} has {count} records, the manifest {expected}")
 
-    return manifest.repartition("path").mapInPandas(read, RECORDS)
+    return manifest.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInPandas(read, RECORDS)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:

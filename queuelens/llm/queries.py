@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queuelens.llm import archive, line_dedup, simhash, windows
+from queuelens.llm import archive, bands, extract, leaks, line_dedup, line_field, mixing, simhash, tokens, windows
 from queuelens.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -46,6 +46,31 @@ def op1_warc(spark, sf_dir):
     )
 
 
+@query("op2_quality_field")
+def op2_quality_field(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = line_field.learn(docs, table(spark, sf_dir, "labels"))
+    return line_field.score(docs, field).select(
+        "doc_id", line_field.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= line_field.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op3_compression_bands")
+def op3_compression_bands(spark, sf_dir):
+    return bands.rate(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("_items") > 0).alias("contaminated"), F.size("_items").cast("bigint").alias("n_items"),
+        F.col("_items").alias("item_ids"), F.col("_distances").alias("distances"),
+    )
+
+
 @query(
     "op5_substring_dedup",
     f"""
@@ -68,6 +93,12 @@ def op5_substring_dedup(spark, sf_dir):
     return windows.remove_repeats(table(spark, sf_dir, "documents"), length=50).drop("text")
 
 
+@query("op6_html_extraction")
+def op6_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return extract.extract(pages, extract.learn(pages))
+
+
 @query(
     "op7_line_dedup",
     f"""
@@ -89,6 +120,32 @@ def op7_line_dedup(spark, sf_dir):
     )
 
 
+BLOCK_WORDS = 64
+
+
+@query("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    mix = mixing.plan_mix(table(spark, sf_dir, "documents"), block_words=BLOCK_WORDS)
+    return mixing.taken(mix, BLOCK_WORDS).select(
+        F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"), F.col("_taken").alias("taken"),
+    )
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+END_ID = 1
+
+
+@query("op9_token_ids")
+def op9_token_ids(spark, sf_dir):
+    return tokens.read_ids(spark, tokens.write_ids(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID))
+
+
 @query("op10_simhash")
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
