@@ -185,7 +185,7 @@ def frames(handle) -> Iterator[bytes]:
 
 def records_of(path: str) -> Iterator[tuple]:
     store, name = pafs.FileSystem.from_uri(path)
-    with store.open_input_stream(name) as handle:
+    with store.open_input_stream(name, compression=None) as handle:
         for data in frames(handle):
             yield parse(data)
 
@@ -257,7 +257,7 @@ def write_archives(
             for key, address, payload, sha1, refers in zip(rows._id, rows._uri, rows._payload, rows._sha1, rows._refers):
                 if handle is None:
                     name, count = f"{uuid.uuid4().hex}.warc.zst", 0
-                    handle = store.open_output_stream(f"{base}/{name}")
+                    handle = store.open_output_stream(f"{base}/{name}", compression=None)
                     handle.write(dictionary_frame(dictionary))
                 said = base64.b32encode(bytes.fromhex(sha1)).decode()
                 key = None if pd.isna(key) else int(key)

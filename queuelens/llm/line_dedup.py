@@ -42,10 +42,12 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fan_out: int = 4):
         self.spark, self.fan_out = spark, fan_out
         self.levels: list[list[str]] = []
+        self._old: list[str] = []  # runs that went into a compaction
 
     def add(self, entries: DataFrame) -> DataFrame:
         """Add a batch of (_h1, _h2, _docs, _last), one row per key; returns it as written, where
-        ``_new`` marks the keys that no earlier batch held."""
+        ``_new`` marks the keys that no earlier batch held. It can be read until the next call."""
+        self._forget()
         known = self.runs()
         if known is None:
             marked = entries.withColumn("_new", F.lit(True))
@@ -74,6 +76,12 @@ class LineRuns:
         for path in [path for level in self.levels for path in level]:
             remove(self.spark, path)
         self.levels = []
+        self._forget()
+
+    def _forget(self) -> None:
+        for path in self._old:
+            remove(self.spark, path)
+        self._old = []
 
     def _place(self, path: str, depth: int) -> None:
         while len(self.levels) <= depth:
@@ -82,8 +90,7 @@ class LineRuns:
         if len(self.levels[depth]) >= self.fan_out:
             old, self.levels[depth] = self.levels[depth], []
             merged = self._write(_merged(self.spark.read.parquet(*old)))
-            for run in old:
-                remove(self.spark, run)
+            self._old += old
             self._place(merged, depth + 1)
 
     def _write(self, entries: DataFrame) -> str:
