@@ -49,6 +49,11 @@ LAYOUTS = [
     '<body><div class="topbar menu" data-content="0">{a}</div><section class="main-content article-body" data-content="1"><h1>{h}</h1><p>{3}</p><h2>{b}</h2><p>{0}</p><p>{1}</p></section><form data-content="0" class="newsletter subscribe"><p>{d}</p><label>{a}</label></form><div id="comments" data-content="0"><ol><li><p>{2}</p></li><li><p>{0}</p></li></ol></div></body>',
     '<body><div class="breadcrumb" data-content="0"><a href="#">{a}</a></div><div role="main" data-content="1"><h1>{h}</h1><p>{0}</p><div><p>{1}</p><p>{2}</p></div></div><div class="notice popup" data-content="0">{3}</div><div class="share social" data-content="0"><a href="#">{b}</a></div><div role="contentinfo" class="copyright" data-content="0">{c}</div></body>',
     '<body><article data-content="1"><header><h1>{h}</h1></header><p>{0}</p><p>{b}</p><p>{1}</p><dl><dt>{a}</dt><dd>{2}</dd></dl></article><div class="promo sponsored" data-content="0"><p>{3}</p></div><div class="reader-comments discussion" data-content="0"><p>{1}</p><p>{a}</p></div><div class="alert message" data-content="0">{2}</div></body>',
+    '<article data-content="1"><p>{0}</p></article>',
+    '<body><article data-content="1"><h1>{h}</h1><p>{1}</p></article><div class="related" data-content="0"><h4>{a}</h4><p>{b}</p></div></body>',
+    '<main data-content="1"><p>{2}</p><form data-content="0"><p>{a}</p><label>{b}</label></form><p>{0}</p></main><form data-content="0"><label>{c}</label><div>{d}</div></form>',
+    '<body><article data-content="1"><h1>{h}</h1><p>{0}</p><aside data-content="0">{a}</aside><form data-content="0">{b}<p>{c}</p></form><nav data-content="0">{d}</nav><p>{1}</p></article></body>',
+    '<div class="page"><div class="article" data-content="1"><p>{3}</p></div></div><div class="notice" data-content="0"><p>{0}</p></div>',
     '<body><div class="nav" data-content="0">{a} {b}</div><p data-content="1">{0}</p><p data-content="1">{1}</p><p data-content="1">{2}</p><div class="ads" data-content="0"><p>{3}</p></div></body>',
 ]
 

@@ -1,0 +1,106 @@
+import itertools
+
+import numpy as np
+import pytest
+
+from queuelens.llm import dom, extract, queries
+
+PAGES = "page_id bigint, url string, html string, _id string, text string"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return extract.learn(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+def one(model, page):
+    return extract.texts([dom.parse(page)], model)[0]
+
+
+LONG = [
+    "The first paragraph tells, in plain words, what the whole article is about and why it was written at all.",
+    "A second one goes on with it: more of the matter, some detail, and a remark that leads on to the end.",
+    "At last the third paragraph closes the article, as they do, with a short outlook on what may follow.",
+]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><h1>Title of it</h1><p>{0}</p><p>{1}</p><p>{2}</p></article>",
+        "<nav><a href='/'>Home</a> <a href='/x'>More</a></nav><main><h1>Title of it</h1><p>{0}</p><p>{1}</p><p>{2}</p></main><footer>&copy; me</footer>",
+        "<div class='ad'>Buy this now</div><article><h1>Title of it</h1><p>{0}<p>{1}<p>{2}</article><div class='comments'><p>Nice article, thank you.</p></div>",
+        "<div id='menu'><ul><li><a href='#'>One</a></li><li><a href='#'>Two</a></li></ul></div><div id='content'><h1>Title of it</h1><p>{0}</p><p>{1}</p><p>{2}</p></div><div id='footer'>Imprint</div>",
+        "<article><h1>Title of it</h1><p>{0}</p><script>var a = '<p>no</p>';</script><style>p{{}}</style><!-- <p>no</p> --><p>{1}</p><aside>Read also this</aside><form><input value=x><label>Your mail</label></form><p>{2}</p></article>",
+        "<ARTICLE><H1>Title &#111;f it</H1><P CLASS=x>{0}</P><p><b>{1}</b></p><p>  {2}\n\t</p></ARTICLE><div class='cookie-notice'><p>We use cookies, as all do, and ask you to agree to that.</p></div>",
+    ],
+)
+def test_main_text_of_layouts(model, page):
+    html = "<!DOCTYPE html><html><head><title>T</title></head><body>" + page.format(*LONG) + "</body></html>"
+    assert one(model, html) == "\n".join(["Title of it", *LONG])
+
+
+@pytest.mark.parametrize(
+    "page,blocks",
+    [
+        ("a<br>b", ["a b"]),
+        ("<p>x &amp; y&nbsp;z &lt;b&gt; &#x41; &copy &unknown;</p>", ["x & y z <b> A © &unknown;"]),
+        ("<ul><li>1<li>2<ul><li>3</ul></ul>", ["1", "2", "3"]),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", ["a", "b", "c"]),
+        ("<p>a<div>b</div>c", ["a", "b", "c"]),
+        ("text < 5 and <unclosed", ["text < 5 and"]),
+        ("<script>never ends <p>x</p>", []),
+        ("<select><option>x</select><textarea>y</textarea><button>z</button>w", ["w"]),
+        ("</div></p>x<p", ["x"]),
+        ("", []),
+        ('<p title="a>b">c</p><p title=\'x">d</p>', ["c", "d"]),
+        ("<b>bold <i>both</b> rest</i>", ["bold both rest"]),
+    ],
+)
+def test_blocks_of_broken_markup(page, blocks):
+    assert [t for t in dom.parse(page).texts if t] == blocks
+
+
+def test_deep_and_long_pages_are_read():
+    deep = dom.parse("<div>" * 3000 + "x" + "</div>" * 2000)
+    assert [t for t in deep.texts if t] == ["x"]
+    assert len(dom.parse('<a "' * 5000).parents) >= 1
+
+
+def test_sum_product_equals_enumeration():
+    page = dom.parse("<div class=content><p>one two</p><p>three, four.</p><ul><li>five</li></ul></div>")
+    r = np.random.default_rng(1)
+    model = extract.Model(r.normal(size=1 << extract.HASH_BITS), r.normal(size=(2, 2)), r.normal(size=(2, 2)))
+    forest = extract.Forest([page, page])
+    got = np.exp(forest.beliefs(model)[0][: len(page.parents), 1])
+    unary = [sum(model.weights[f] for f in fs) / 2 for fs in extract.node_features(page)]
+    n, total, want = len(page.parents), 0.0, 0
+    for y in itertools.product((0, 1), repeat=n):
+        w = sum(u if v else -u for u, v in zip(unary, y))
+        w += sum((model.ties if page.names[i] else model.leaf_ties)[y[page.parents[i]], y[i]] for i in range(1, n))
+        total += np.exp(w)
+        want = want + np.exp(w) * np.array(y)
+    assert np.allclose(got, want / total)
+
+
+def test_pages_with_odd_rows(spark, model):
+    rows = [(1, "u", None), (2, None, ""), (None, "u", "<article><p>" + LONG[0] + "</p></article>"), (4, "u", "<p>")]
+    df = spark.createDataFrame([r + ("x", "y") for r in rows], PAGES)
+    got = {(r.page_id, r.url): (r.text, r.n_chars) for r in extract.extract(df, model).collect()}
+    assert got == {(1, "u"): ("", 0), (2, None): ("", 0), (None, "u"): (LONG[0], len(LONG[0])), (4, "u"): ("", 0)}
+    assert extract.extract(df.limit(0), extract.learn(df.limit(0))).collect() == []
+
+
+def test_articles_of_the_table(spark):
+    """The article element of these pages is their main text; it is not what decides."""
+    import html
+    import re
+
+    sf_dir = "/root/testdata/sf0.01"
+    got = {r.page_id: r.text for r in queries.op6_html_extraction(spark, sf_dir).collect()}
+    right = 0
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        inner = re.search(r"<article>(.*?)</article>", row.html, re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
+        right += got[row.page_id] == "\n".join(b for b in blocks if b)
+    assert right >= 0.99 * len(got)
