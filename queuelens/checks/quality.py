@@ -12,7 +12,7 @@ from queuelens.functions import vectors as vx
 from queuelens.operators import evaluate, impute, kmeans, routing
 from queuelens.operators import silhouette as sil
 from queuelens.operators.nearest import assign
-from queuelens.operators.space import build, core_distances, distinct_points
+from queuelens.operators.neighbours import build, core_distances, distinct_points, nearest_neighbours
 from queuelens.plans.sweeps import grid_table
 from queuelens.plans.ticket_view import GIVEN_LABELS_SQL, given_labels, tickets
 

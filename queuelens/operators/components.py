@@ -5,52 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queuelens.session import materialise
+from queuelens.session import materialise, scratch
 
-DRIVER_EDGES = 200_000
 
-
-class Forest:
-    """Union-find over the ids of one bounded edge list; the root is the least id."""
-
-    def __init__(self):
-        self.parent: dict = {}
-
-    def find(self, x):
-        parent = self.parent
-        root = x
-        while parent.get(root, root) != root:
-            root = parent[root]
-        while parent.get(x, x) != root:
-            parent[x], x = root, parent[x]
-        return root
-
-    def union(self, a, b) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        low, high = (a, b) if a < b else (b, a)
-        self.parent.setdefault(low, low)
-        self.parent[high] = low
-        return True
-
-
-def components(edges: DataFrame, kind: str = "bigint", driver_edges: int = DRIVER_EDGES) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, label) for every id in ``edges`` (src, dst); the label is the least id reachable.
 
-    A measured-small edge list is labelled in one step, a larger one by rounds of
-    hooking to the least neighbour and shortening, each round a few joins.
+    Rounds of hooking to the least neighbour and shortening, each a few joins.
     """
-    spark = edges.sparkSession
-    schema = f"id {kind}, label {kind}"
-    rows = edges.select("src", "dst").limit(driver_edges + 1).collect() if driver_edges else [None]
-    if len(rows) <= driver_edges:
-        forest = Forest()
-        for a, b in rows:
-            forest.union(a, b)
-        ids = {x for row in rows for x in row}
-        return spark.createDataFrame([(x, forest.find(x)) for x in ids], schema)
+    with scratch(edges.sparkSession) as keep:
+        return keep(_labelled(edges))
+
 
+def _labelled(edges: DataFrame) -> DataFrame:
     ids = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
     labels = materialise(ids.select("id", F.col("id").alias("label")), "labels")
     live = edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).filter("a <> b").distinct()
@@ -73,4 +40,4 @@ def components(edges: DataFrame, kind: str = "bigint", driver_edges: int = DRIVE
         labels = materialise(relabel(labels, "label"), "labels")
         moved = relabel(relabel(live, "a"), "b").filter("a <> b")
         live = materialise(moved.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "live-edges")
-    return labels.select("id", "label")
+    return labels

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -39,9 +40,10 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can read, as the cluster names it in ``spark.checkpoint.dir``."""
+    """The folder all executors can read: ``spark.checkpoint.dir``, or the one set on the context."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    folder = folder or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if context.applicationId in _local_folders:
@@ -56,6 +58,9 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: list[list[str]] = []  # tables of the open scopes, the innermost last
+
+
 def materialise(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -64,10 +69,44 @@ def materialise(df: DataFrame, name: str, schema: T.StructType | None = None) ->
     """
     spark = df.sparkSession
     path = new_table_path(spark, name)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete at its end the tables that ``materialise`` wrote inside, but those given to ``keep``.
+
+    A kept table belongs to the scope around, if there is one. Only results that need no
+    deleted table may leave: materialise them first.
+    """
+    mine: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        for folder in table_folders(df):
+            for path in [p for p in mine if p.rsplit("/", 1)[1] == folder.rsplit("/", 1)[1]]:
+                mine.remove(path)
+                place = next(i for i, scope in enumerate(_scratch) if scope is mine)
+                if place:
+                    _scratch[place - 1].append(path)
+        return df
+
+    _scratch.append(mine)
+    try:
+        yield keep
+    finally:
+        del _scratch[next(i for i, scope in enumerate(_scratch) if scope is mine)]
+        for path in mine:
+            remove(spark, path)
+
+
+def table_folders(df: DataFrame) -> set[str]:
+    """The folders that a frame's files lie in."""
+    return {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table written by this session, wherever its file system is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -76,6 +115,5 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def remove_table(df: DataFrame) -> None:
     """Delete the files that a table made by ``materialise`` lies in."""
-    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
-    for folder in folders:
+    for folder in table_folders(df):
         remove(df.sparkSession, folder)
