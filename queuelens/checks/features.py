@@ -56,10 +56,20 @@ def order_priority_rank(spark, folder):
     with_tickets() + "SELECT ticket_id, " + ", ".join(f"(coalesce(type = '{t}', FALSE))::INTEGER::DOUBLE AS {t}" for t in TYPES) + " FROM tickets",
 )
 def type_flags(spark, folder):
-    df = tickets(spark, folder)
-    values = metadata.categories(df, "type")
-    flags = df.withColumn("flags", metadata.one_hot(F.col("type"), values))
-    return flags.select(KEY, *[F.col("flags")[i].alias(v) for i, v in enumerate(values)])
+    df, width = metadata.with_place(tickets(spark, folder), "type", "_place")
+    flags = df.withColumn("flags", metadata.flags(F.col("_place"), width))
+    return flags.select(KEY, *[F.col("flags")[i].alias(v) for i, v in enumerate(TYPES)])
+
+
+@query(
+    "one_hot_wide",
+    "SELECT o_orderkey, (SELECT count(DISTINCT o_custkey) FROM orders) AS width, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS place, 1.0::DOUBLE AS value FROM orders",
+)
+def one_hot_wide(spark, folder):
+    """Flags of a column with more values than a literal list holds."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey")
+    rows = metadata.one_hot_sparse(orders, "o_custkey", "flags")
+    return rows.select("o_orderkey", F.col("flags.size").cast("bigint").alias("width"), F.col("flags.indices")[0].alias("place"), F.col("flags.values")[0].alias("value"))
 
 
 @query(

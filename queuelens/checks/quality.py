@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from queuelens.checks.features import HASHED_PARTS, semantic
@@ -13,7 +14,10 @@ from queuelens.operators import evaluate, impute, kmeans, routing
 from queuelens.operators import silhouette as sil
 from queuelens.operators.nearest import assign
 from queuelens.operators.neighbours import build, core_distances, distinct_points, nearest_neighbours
-from queuelens.plans.sweeps import grid_table
+from queuelens.operators.spanning import spanning_trees
+from queuelens.plans.sweeps import grid_table, recommended_k
+from queuelens.session import materialise
+from queuelens.sources.sinks import evaluation_summary
 from queuelens.plans.ticket_view import GIVEN_LABELS_SQL, given_labels, tickets
 
 CONFIG = settings()
@@ -59,18 +63,23 @@ EUCLIDEAN = "list_distance(p.v, q.v)"
 SQUARED = "list_distance(p.v, q.v) ** 2"
 
 
+def drawn(source: str, key: str = "id", seed: int = 42, size: int = 5000) -> str:
+    """The same random rows as ``silhouette.random_points``."""
+    return f"SELECT * FROM ({source}) s ORDER BY md5('{seed}:' || {key}), {key} LIMIT {size}"
+
+
 @query(
     "silhouette_sampled",
-    _with([("pts", POINTS), *silhouette_parts(EUCLIDEAN)]) + "SELECT round(avg(s), 6) AS silhouette FROM scores",
+    _with([("pts", drawn(POINTS, size=300)), *silhouette_parts(EUCLIDEAN)]) + "SELECT round(avg(s), 6) AS silhouette FROM scores",
 )
 def silhouette_sampled(spark, folder):
-    sample = sil.sample_points(embedding_points(spark, folder), KEY, 5000)
+    sample = sil.sample_points(embedding_points(spark, folder), KEY, 300)
     return sil.point_silhouettes(sample).agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
 
 
 @query(
     "silhouette_per_cluster",
-    _with([("pts", POINTS), *silhouette_parts(EUCLIDEAN)])
+    _with([("pts", drawn(POINTS)), *silhouette_parts(EUCLIDEAN)])
     + "SELECT cluster, count(*) AS n, round(avg(s), 6) AS silhouette, round(min(s), 6) AS lowest FROM scores GROUP BY cluster",
 )
 def silhouette_per_cluster(spark, folder):
@@ -98,9 +107,9 @@ def silhouette_all_rows_squared(spark, folder):
     return spark.range(1).select(F.round(F.lit(value), 6).alias("silhouette"))
 
 
-@query("random_sample")
+@query("random_sample", drawn(f"SELECT * FROM ({GIVEN_LABELS_SQL}) g WHERE cluster <> -1", "ticket_id", size=400))
 def random_sample(spark, folder):
-    return sil.sample_points(given_labels(spark, folder), KEY, 5000, seed=42)
+    return sil.sample_points(given_labels(spark, folder), KEY, 400, seed=42)
 
 
 @query("cluster_sizes", f"SELECT cluster, count(*) AS size FROM ({GIVEN_LABELS_SQL}) g GROUP BY cluster")
@@ -164,7 +173,7 @@ EVALUATED_PARTS = [
     with_tickets(
         *[(n, b) if n != "sizes" else ("cluster_sizes", b) for n, b in EVALUATED_PARTS if n not in ("means", "ranked")],
         *[(n, b.replace("JOIN sizes", "JOIN cluster_sizes")) for n, b in EVALUATED_PARTS if n in ("means", "ranked")],
-        ("pts", "SELECT id, v, cluster FROM vecs JOIN given ON ticket_id = id WHERE cluster <> -1"),
+        ("pts", drawn("SELECT id, v, cluster FROM vecs JOIN given ON ticket_id = id WHERE cluster <> -1")),
         *silhouette_parts(EUCLIDEAN),
     )
     + "SELECT r.cluster, size, string_agg(term, ' ' ORDER BY rank) AS keywords, (SELECT round(avg(s), 5) FROM scores) AS silhouette "
@@ -191,7 +200,7 @@ def evaluate_run_report(spark, folder):
 
 
 def _run_sql(run: str, labels: str) -> str:
-    parts = [("pts", f"SELECT id, v, cluster FROM vecs JOIN ({labels}) l ON ticket_id = id WHERE cluster <> -1"), *silhouette_parts(EUCLIDEAN)]
+    parts = [("pts", drawn(f"SELECT id, v, cluster FROM vecs JOIN ({labels}) l ON ticket_id = id WHERE cluster <> -1")), *silhouette_parts(EUCLIDEAN)]
     return (
         f"SELECT * FROM ({_with(parts)} SELECT '{run}' AS run, (SELECT round(avg(s), 5) FROM scores) AS silhouette, "
         f"count(DISTINCT cluster) FILTER (cluster <> -1) AS n_clusters, count(*) FILTER (cluster = -1) AS noise_count FROM ({labels}) a) z"
@@ -245,6 +254,85 @@ def nearest_centroid(spark, folder):
     return routed.select(KEY, "cluster", F.round("cosine", 6).alias("cosine"))
 
 
+@query(
+    "nearest_centroid_with_nulls",
+    _with([*CENTROID_PARTS, ("near", "SELECT id, centroids.cluster, list_cosine_similarity(v, c) AS s FROM pts, centroids")])
+    + "SELECT id AS ticket_id, CASE WHEN id % 7 <> 0 THEN CAST(arg_min(cluster, (-round(s, 9), cluster)) AS INTEGER) END AS cluster, "
+    "CASE WHEN id % 7 <> 0 THEN round(max(s), 6) END AS cosine FROM near GROUP BY id",
+)
+def nearest_centroid_with_nulls(spark, folder):
+    """Some vectors are null, and the centroids come in several blocks."""
+    points = embedding_points(spark, folder)
+    some = points.select(KEY, F.when(F.col(KEY) % 7 != 0, F.col("vector")).alias("vector"))
+    routed = assign(some, kmeans.centroids(points), "vector", block_numbers=200)
+    return routed.select(KEY, "cluster", F.round("cosine", 6).alias("cosine"))
+
+
+@query(
+    "evaluation_summary_records",
+    with_tickets(*KEYWORD_PARTS, *ROUTED_PARTS)
+    + "SELECT 'by_source' AS run, g.cluster, g.size, (SELECT count(DISTINCT cluster) FROM given WHERE cluster <> -1) AS n_clusters, "
+    "(SELECT count(*) FROM given WHERE cluster = -1) AS noise_count, category, team, automation, confidence, top_keywords "
+    "FROM (SELECT cluster, count(*) AS size FROM given GROUP BY cluster) g LEFT JOIN routed r ON g.cluster = r.cluster",
+)
+def evaluation_summary_records(spark, folder):
+    """One record per cluster, noise included."""
+    labels, rules = given_labels(spark, folder), routing.rule_table(spark, TEST_RULES)
+    sizes = evaluate.keywords.cluster_sizes(labels)
+    ranked = evaluate.keywords.cluster_keywords(clean_texts(spark, folder), labels, KEY, CONFIG)
+    table = evaluate.cluster_table(sizes, ranked, routing.business_interpret(ranked, rules, evaluate.cluster_ids(sizes)))
+    named = [df.withColumn("run", F.lit("by_source")) for df in (table, sizes)]
+    records = evaluation_summary(evaluate.run_report(sizes, "by_source", None), *named).drop("silhouette", "keywords")
+    return records.withColumn("top_keywords", F.array_join("top_keywords", ", "))
+
+
+GIVEN_SWEEP = "SELECT cluster + 2 AS k, CASE WHEN cluster % 3 <> 0 THEN round(avg(v[1]), 2) END AS silhouette FROM pts GROUP BY cluster"
+
+
+@query(
+    "best_of_given_sweep",
+    _with([("pts", POINTS), ("sweep", GIVEN_SWEEP)]) + "SELECT CAST(k AS INTEGER) AS k, silhouette FROM sweep WHERE silhouette IS NOT NULL ORDER BY silhouette DESC, k LIMIT 1",
+)
+def best_of_given_sweep(spark, folder):
+    """The best of scores taken from the table, some of which are null."""
+    score = F.when(F.col("cluster") % 3 != 0, F.round(F.avg(F.col("vector")[0]), 2))
+    sweep = embedding_points(spark, folder).groupBy("cluster").agg(score.alias("silhouette"))
+    return recommended_k(sweep.select((F.col("cluster") + 2).cast("int").alias("k"), "silhouette"))
+
+
+@query(
+    "neighbour_recall",
+    _with([
+        ("pts", POINTS),
+        ("ranked", f"SELECT p.id, q.id AS other, row_number() OVER (PARTITION BY p.id ORDER BY {EUCLIDEAN}, q.id) AS place FROM pts p JOIN pts q ON p.id <> q.id AND p.id % 10 = 0"),
+    ])
+    + "SELECT count(*) AS pairs, TRUE AS recall_reached FROM ranked WHERE place <= 10",
+)
+def neighbour_recall(spark, folder):
+    """Of the ten nearest of each tenth point, by comparison with all, at least nine tenths are found
+    where no cell holds more than a fifth of the points."""
+    points = embedding_points(spark, folder)
+    nodes, _ = distinct_points(points, KEY, "vector")
+    found = nearest_neighbours(build(nodes, cell_rows=max(50, nodes.count() // 5)), 10)
+    asked = points.filter(F.col(KEY) % 10 == 0).select(F.col(KEY).alias("node"), F.col("vector").alias("a"))
+    d = F.sqrt(F.aggregate(F.zip_with("a", "vector", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    # A stated set of queries, sent to the rows.
+    pairs = points.crossJoin(F.broadcast(asked)).filter(F.col(KEY) != F.col("node")).select("node", F.col(KEY).alias("other"), d.alias("d"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("d", "other"))
+    exact = pairs.withColumn("place", place).filter("place <= 10")
+    hits = exact.join(found.select("node", "other", F.lit(1).alias("hit")), ["node", "other"], "left")
+    return hits.agg(F.count("*").alias("pairs"), (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
+@query("density_tree_edges", "SELECT count(*) - 1 AS edges, 0 AS unlinked FROM (SELECT DISTINCT embedding FROM embeddings) e")
+def density_tree_edges(spark, folder):
+    """The tree has an edge less than there are different points, also over many cells."""
+    nodes, _ = distinct_points(embedding_points(spark, folder), KEY, "vector")
+    cells = build(nodes, cell_rows=max(50, nodes.count() // 5))
+    tree = spanning_trees(cells, materialise(core_distances(cells, [5]), "cores"), [5])
+    return tree.agg(F.count("*").alias("edges"), F.count_if(F.col("weight") == float("inf")).cast("int").alias("unlinked"))
+
+
 @query(
     "core_distances",
     _with([

@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -75,13 +76,14 @@ class PrecomputedEmbedder:
 class Word2VecEmbedder:
     """Mean of word vectors that MLlib fits on the texts themselves."""
 
-    def __init__(self, dim: int = 64, min_count: int = 5, seed: int = 42, partitions: int = 1):
-        self.dim, self.min_count, self.seed, self.partitions = dim, min_count, seed, partitions
+    def __init__(self, dim: int = 64, min_count: int = 5, seed: int = 42, rows_per_task: int = 10_000):
+        self.dim, self.min_count, self.seed, self.rows_per_task = dim, min_count, seed, rows_per_task
 
     def add(self, df: DataFrame, text: str, name: str) -> DataFrame:
         words = df.withColumn("_words", tx.tokens(tx.blank_if_null(F.col(text))))
+        parts = max(1, math.ceil(words.count() / self.rows_per_task))  # each fits its share, then they are averaged
         model = Word2Vec(
-            vectorSize=self.dim, minCount=self.min_count, seed=self.seed, numPartitions=self.partitions,
+            vectorSize=self.dim, minCount=self.min_count, seed=self.seed, numPartitions=parts,
             inputCol="_words", outputCol="_vec",
         ).fit(words)
         return model.transform(words).withColumn(name, vector_to_array("_vec")).drop("_words", "_vec")
@@ -109,10 +111,28 @@ class FunctionEmbedder:
 
         return texts.mapInPandas(run, "text_key string, vector array<double>")
 
+    def _in_place(self, df: DataFrame, text: str, name: str) -> DataFrame:
+        """Embed every row's text where it is, as a stream needs it."""
+        load, size = self.load, self.batch_size
+
+        @F.pandas_udf("array<double>")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            model = load()
+            for batch in batches:
+                texts, out = ["" if t is None else t for t in batch.tolist()], []
+                for start in range(0, len(texts), size):
+                    out += [[float(x) for x in v] for v in np.asarray(model(texts[start : start + size]), dtype=float)]
+                yield pd.Series(out, dtype=object)
+
+        return df.withColumn(name, run(F.col(text)))
+
     def add(self, df: DataFrame, text: str, name: str) -> DataFrame:
+        if df.isStreaming:
+            return self._in_place(df, text, name)
         known = embed_with_store(df, text, self.store, self.model_id, self._embed)
-        keyed = df.withColumn("text_key", text_key(F.col(text)))
-        return keyed.join(known.withColumnRenamed("vector", name), "text_key", "left").drop("text_key")
+        keyed = df.withColumn("_text_key", text_key(F.col(text)))
+        vectors = known.select(F.col("text_key").alias("_text_key"), F.col("vector").alias(name))
+        return keyed.join(vectors, "_text_key", "left").drop("_text_key")
 
 
 def embedder_for(config: dict, **parts):

@@ -2,57 +2,68 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from queuelens.functions import text as tx
-from queuelens.functions import vectors as vx
-
-LITERAL_NUMBERS = 50_000
-MATRIX_NUMBERS = 32_000_000
+BLOCK_NUMBERS = 4_000_000  # of centroids that are sent to the tasks together
 
 
-def unit_centroids(centroids: DataFrame, max_numbers: int = MATRIX_NUMBERS) -> list:
-    """The centroids (cluster, centroid) at unit length by cluster; their size is checked first."""
-    n, dim = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
-    if n * (dim or 0) > max_numbers:
-        raise ValueError(f"{n} centroids of {dim} numbers are too many to send to every task")
-    unit = centroids.select(F.col("cluster").cast("int"), vx.l2_normalised(F.col("centroid")).alias("unit"))
-    return sorted(unit.collect())
+def centroid_blocks(centroids: DataFrame, numbers: int = BLOCK_NUMBERS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(unit vectors, clusters) by cluster, a block at a time; the driver holds one block."""
+    names, rows, size = [], [], 0
+    for row in centroids.select(F.col("cluster").cast("int"), "centroid").orderBy("cluster").toLocalIterator():
+        vector = np.asarray(row.centroid, dtype=float)
+        names.append(row.cluster)
+        rows.append(vector / (np.linalg.norm(vector) or 1.0))
+        size += len(vector)
+        if size >= numbers:
+            yield np.stack(rows), np.array(names)
+            names, rows, size = [], [], 0
+    if rows:
+        yield np.stack(rows), np.array(names)
 
 
-def nearest(vector: Column, rows: list) -> Column:
-    """Struct (cosine, cluster) of the most similar centroid, the lower cluster on ties."""
-    table = F.array(*[F.struct(F.lit(r.cluster).alias("cluster"), F.lit(list(r.unit)).alias("unit")) for r in rows])
-    scores = tx.let(
-        vx.l2_normalised(vector),
-        lambda v: F.transform(
-            table, lambda c: F.struct(vx.dot(v, c["unit"]).alias("cosine"), (-c["cluster"]).alias("minus_cluster"))
-        ),
-    )
-    return tx.let(F.array_max(scores), lambda s: F.struct(s["cosine"].alias("cosine"), (-s["minus_cluster"]).alias("cluster")))
+def nearer(vector: Column, best: Column, block) -> Column:
+    """The better of ``best`` (cosine, cluster) and the most similar centroid of a broadcast block.
 
-
-def nearest_by_matrix(vector: Column, rows: list) -> Column:
-    """:func:`nearest` for long centroid lists, one matrix product per Arrow batch."""
-    matrix, names = np.array([r.unit for r in rows]), np.array([r.cluster for r in rows], dtype="int32")
+    The lower cluster wins ties; a null vector has no nearest centroid.
+    """
 
     @F.pandas_udf("cosine double, cluster int")
-    def score(vectors: pd.Series) -> pd.DataFrame:
-        stack = np.stack(vectors.to_numpy())
-        norms = np.linalg.norm(stack, axis=1, keepdims=True)
-        cosines = stack / np.where(norms == 0, 1, norms) @ matrix.T
-        best = cosines.argmax(1)
-        return pd.DataFrame({"cosine": cosines[np.arange(len(best)), best], "cluster": names[best]})
+    def score(vectors: pd.Series, cosine: pd.Series, cluster: pd.Series) -> pd.DataFrame:
+        matrix, names = block.value
+        top = cosine.to_numpy(dtype=float, na_value=np.nan).copy()
+        name = cluster.astype("Int32").to_numpy(dtype=object, na_value=None).copy()
+        given = np.flatnonzero(vectors.notna().to_numpy())
+        if len(given):
+            stack = np.stack(vectors.iloc[given].to_numpy()).astype(float)
+            norms = np.linalg.norm(stack, axis=1, keepdims=True)
+            cosines = stack / np.where(norms == 0, 1, norms) @ matrix.T
+            place = cosines.argmax(1)
+            found = cosines[np.arange(len(place)), place]
+            better = ~(found <= top[given])  # also where there is none yet
+            top[given[better]] = found[better]
+            name[given[better]] = names[place[better]]
+        return pd.DataFrame({"cosine": pd.array(np.where(pd.isna(name), np.nan, top), dtype="Float64"), "cluster": pd.array(name, dtype="Int32")})
+
+    # Marked so that the planner neither repeats the call nor moves it into a join on its result.
+    return score.asNondeterministic()(vector, best["cosine"], best["cluster"])
 
-    return score(vector)
 
+def assign(df: DataFrame, centroids: DataFrame, vector: str = "semantic", block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
+    """Add ``cluster`` and ``cosine`` of the nearest centroid; both null for a null vector.
 
-def assign(df: DataFrame, centroids: DataFrame, vector: str = "semantic", literal_numbers: int = LITERAL_NUMBERS) -> DataFrame:
-    """Add ``cluster`` and ``cosine`` of the nearest centroid. A short list stays in the JVM."""
-    rows = unit_centroids(centroids)
-    small = sum(len(r.unit) for r in rows) <= literal_numbers
-    found = df.withColumn("_nearest", (nearest if small else nearest_by_matrix)(F.col(vector), rows))
+    Centroids go to the tasks in blocks of a fixed size, however many there are. No rows are
+    shuffled or multiplied, so the same works on a stream. The blocks in turn keep the best so
+    far. Without any centroid both columns are null.
+    """
+    none = F.lit(None)
+    found = df.withColumn("_nearest", F.struct(none.cast("double").alias("cosine"), none.cast("int").alias("cluster")))
+    for block in centroid_blocks(centroids, block_numbers):
+        shared = df.sparkSession.sparkContext.broadcast(block)
+        found = found.withColumn("_nearest", nearer(F.col(vector), F.col("_nearest"), shared))
     return found.withColumns({"cluster": F.col("_nearest.cluster"), "cosine": F.col("_nearest.cosine")}).drop("_nearest")

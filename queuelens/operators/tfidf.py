@@ -1,12 +1,14 @@
-"""TF-IDF in long form: term counts, vocabulary, weights.
+"""TF-IDF: term counts, vocabulary, weights.
 
-Counts are taken inside each row, so the only shuffles are one by term (document
-frequencies, combined map-side) and one by key (the vector of a text).
+Counts are taken inside each row. The vocabulary comes from one shuffle by term, combined
+map-side. With a bounded vocabulary a text's vector is then made where the text lies, without
+any shuffle; an unbounded one is joined by term.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuelens.functions import text as tx
@@ -15,6 +17,9 @@ from queuelens.functions.text import let
 from queuelens.session import materialise
 
 
+LISTED_TERMS = 50_000  # a longer vocabulary is joined
+
+
 def term_counts(df: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_words=None, keep_empty=False) -> DataFrame:
     """One row (key, term, tf) per different term of each text.
 
@@ -34,6 +39,20 @@ def corpus_frequencies(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
+def term_lists(df: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_words=None) -> DataFrame:
+    """(key, terms): the terms of each text in order, repeats included."""
+    words = tx.without(tx.tokens(tx.blank_if_null(F.col(text))), stop_words or [])
+    return df.select(key, tx.ngrams(words, *ngram_range).alias("terms"))
+
+
+def listed_frequencies(lists: DataFrame) -> DataFrame:
+    """:func:`corpus_frequencies` of term lists: a term counts for ``df`` where a text has it first."""
+    marked = F.transform(F.col("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
+    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
+    rows = lists.select(F.explode_outer(F.concat(marked, once)).alias("t")).select("t.*").filter("term IS NOT NULL")
+    return rows.groupBy("term").agg(F.count_if(F.col("first") == 0).alias("tf"), F.count_if(F.col("first") == 1).alias("df"))
+
+
 def vocabulary(frequencies: DataFrame, max_features: int | None) -> DataFrame:
     """The ``max_features`` most frequent terms; ties go to the smaller term."""
     if max_features is None:
@@ -49,8 +68,35 @@ def with_idf(vocab: DataFrame, documents: DataFrame) -> DataFrame:
 
 def fit(df: DataFrame, key: str, text: str, max_features=None, ngram_range=(1, 1), stop_words=None) -> DataFrame:
     """Vocabulary (term, tf, df, idf) of a corpus."""
-    counts = term_counts(df, key, text, ngram_range, stop_words)
-    return with_idf(vocabulary(corpus_frequencies(counts), max_features), df)
+    lists = term_lists(df, key, text, ngram_range, stop_words)
+    return with_idf(vocabulary(listed_frequencies(lists), max_features), df)
+
+
+def weighted(entries: Column, sublinear: bool) -> Column:
+    """Entries (term, tf, idf) as (term, weight), L2-normalised over the text."""
+
+    def weight(e: Column) -> Column:
+        return (1 + F.log(e["tf"]) if sublinear else e["tf"]) * e["idf"]
+
+    raw = F.transform(entries, lambda e: F.struct(e["idx"].alias("idx"), weight(e).alias("weight")))
+    return let(
+        raw,
+        lambda r: let(
+            F.sqrt(F.aggregate(r, F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"])),
+            lambda norm: F.transform(r, lambda e: F.struct(e["idx"].alias("idx"), (e["weight"] / norm).alias("weight"))),
+        ),
+    )
+
+
+def vectors_in_place(lists: DataFrame, terms: list[str], idf: list[float], key: str, sublinear: bool = False) -> DataFrame:
+    """(key, entries): (idx, weight) of each text's known terms, by place in ``terms``. No shuffle."""
+    model = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="_counts")
+    counted = model.transform(lists).select(key, F.unwrap_udt("_counts").alias("c"))
+    table = F.lit(idf)
+    known = F.zip_with(
+        "c.indices", "c.values", lambda i, n: F.struct(i.alias("idx"), n.alias("tf"), F.get(table, i).alias("idf"))
+    )
+    return counted.select(key, weighted(known, sublinear).alias("entries"))
 
 
 def text_vectors(counts: DataFrame, vocab: DataFrame, key: str, sublinear: bool = False, vocab_rows: int = 50_000) -> DataFrame:
@@ -72,6 +118,14 @@ def text_vectors(counts: DataFrame, vocab: DataFrame, key: str, sublinear: bool
 
 def transform(df: DataFrame, vocab: DataFrame, key: str, text: str, ngram_range=(1, 1), stop_words=None, sublinear=False) -> DataFrame:
     """Long form (key, term, weight) of the texts under a fitted vocabulary."""
+    known = vocab.select("term", "idf").limit(LISTED_TERMS + 1).collect()
+    if 0 < len(known) <= LISTED_TERMS:
+        known.sort()
+        terms = [r.term for r in known]
+        lists = term_lists(df, key, text, ngram_range, stop_words)
+        rows = vectors_in_place(lists, terms, [r.idf for r in known], key, sublinear)
+        rows = rows.select(key, F.explode_outer("entries").alias("e")).filter("e IS NOT NULL")
+        return rows.select(key, F.get(F.lit(terms), F.col("e.idx")).alias("term"), F.col("e.weight").alias("weight"))
     # Rows are placed by key while they are still whole texts; all later steps stay in place.
     placed = df.select(key, text).repartition(key)
     counts = term_counts(placed, key, text, ngram_range, stop_words)

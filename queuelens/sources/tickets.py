@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from queuelens.config import key_column
 from queuelens.functions.words import NA_TOKENS
-from queuelens.session import materialise
+from queuelens.operators.ranking import with_position
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -44,17 +44,23 @@ def required_columns(config: dict) -> list[str]:
 
 def check_columns(df: DataFrame, config: dict) -> DataFrame:
     """Raise if a text or metadata column is absent."""
-    missing = [c for c in required_columns(config) if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing expected columns: {missing}")
+    absent = set(required_columns(config)).difference(df.columns)
+    if absent:
+        raise ValueError(f"Missing expected columns: {sorted(absent)}")
     return df
 
 
 def with_key(df: DataFrame, key: str) -> DataFrame:
-    """Number the rows of a table that has no key, and write it so the numbers stay."""
+    """Number the rows of a table that has no key by the order of their hashes.
+
+    The numbers depend on the rows alone, not on files or partitions; equal rows can be
+    exchanged for each other anyway. The table is written, so the numbers stay.
+    """
     if key in df.columns:
         return df
-    return materialise(df.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    hashed = df.withColumns({"_row_hash_a": F.xxhash64(whole), "_row_hash_b": F.xxhash64(F.lit(7), whole)})
+    return with_position(hashed, ["_row_hash_a", "_row_hash_b"], key).drop("_row_hash_a", "_row_hash_b")
 
 
 def load_data(spark: SparkSession, path: str | None, config: dict) -> DataFrame:
@@ -73,6 +79,6 @@ def load_data(spark: SparkSession, path: str | None, config: dict) -> DataFrame:
             raise ValueError(f"Unknown source: '{source}'. Use 'csv' or 'parquet'.")
     except AnalysisException as error:
         if _missing_path(error):
-            raise FileNotFoundError(f"Dataset not found at {path}") from error
+            raise FileNotFoundError(f"{path} not found: name an existing file or folder as data.path") from error
         raise
     return spread(with_key(check_columns(df, config), key_column(config)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from queuelens.functions.lookup import join_lookup
 from queuelens.operators import embed, nearest
 from queuelens.operators.prepare import preprocess
 
@@ -12,8 +13,7 @@ from queuelens.operators.prepare import preprocess
 def route_tickets(tickets: DataFrame, centroids: DataFrame, config: dict, routes: DataFrame | None = None, embedder=None) -> DataFrame:
     """Add the nearest cluster and, if ``routes`` is given, its category and team.
 
-    Stateless: each row is cleaned, embedded and compared in the JVM with a checked-small
-    list of centroids, so the same function serves a static and a streaming frame.
+    Stateless: each row is cleaned, embedded and compared with blocks of centroids, so the same function serves a static and a streaming frame.
     ``centroids`` is (cluster, centroid) over semantic vectors, ``routes`` (cluster,
     category, team, ...); both are static.
     """
@@ -21,14 +21,16 @@ def route_tickets(tickets: DataFrame, centroids: DataFrame, config: dict, routes
     routed = nearest.assign(ready, centroids).drop("semantic")
     if routes is None:
         return routed
-    # One row per cluster, and the number of clusters was checked above.
     names = routes.select(F.col("cluster").cast("int"), "category", "team", "automation")
-    return routed.join(F.broadcast(names), "cluster", "left")
+    return join_lookup(routed, names, "cluster")
 
 
-def start_routing(tickets: DataFrame, centroids: DataFrame, config: dict, output: str, checkpoint: str, routes: DataFrame | None = None):
-    """Route a stream of tickets into Parquet files; processes what is there, then stops."""
-    routed = route_tickets(tickets, centroids, config, routes)
+def start_routing(tickets: DataFrame, centroids: DataFrame, config: dict, output: str, checkpoint: str, routes: DataFrame | None = None, embedder=None):
+    """Route a stream of tickets into Parquet files; processes what is there, then stops.
+
+    A model provider embeds the texts of each batch in place, without the vector store.
+    """
+    routed = route_tickets(tickets, centroids, config, routes, embedder)
     return (
         routed.writeStream.format("parquet")
         .option("path", output)

@@ -43,10 +43,20 @@ def test_product_flags(spark):
     assert len(got[1]) == 10 and got[4][4:7] == [0, 0, 0] and got[1][4:7] == [1, 0, 0]
 
 
-def test_wide_column_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(metadata, "MAX_CATEGORIES", 2)
-    with pytest.raises(ValueError, match="frequency encoding"):
-        encoded(spark)
+def test_wide_columns_are_joined_with_equal_rows(spark, monkeypatch):
+    config = settings({**CONFIG, "operational_features": {**CONFIG["operational_features"], "product_encoding": "onehot"}})
+    want = encoded(spark, config=config)
+    monkeypatch.setattr(metadata, "LITERAL_CATEGORIES", 1)
+    assert encoded(spark, config=config) == want
+
+
+def test_sparse_flags_of_a_wide_column(spark):
+    df = spark.range(2500).selectExpr("id", "CASE WHEN id % 50 <> 0 THEN CAST(id % 1999 AS STRING) END AS v")
+    rows = metadata.one_hot_sparse(df, "v", "f").collect()
+    place = {v: i for i, v in enumerate(sorted({r.v for r in rows if r.v is not None}))}
+    assert len(place) > 1000 and len(rows) == 2500
+    for r in rows:
+        assert r.f.size == len(place) and list(r.f.indices) == ([] if r.v is None else [place[r.v]])
 
 
 def halves(spark, n=20):

@@ -100,17 +100,40 @@ def report(spark):
 def test_summary_records(spark, tmp_path):
     sinks.write_evaluation_summary(*report(spark), str(tmp_path / "sum"))
     lines = [json.loads(x) for f in (tmp_path / "sum").glob("*.json") for x in f.read_text().splitlines()]
-    by_run = {x["run"]: x for x in lines}
-    assert by_run["a_kmeans"]["cluster_sizes"] == {"-1": 1, "0": 7, "1": 3}
-    assert by_run["a_kmeans"]["business"]["0"]["team"] == "NetOps"
-    assert by_run["a_kmeans"]["cluster_keywords"]["0"] == ["vpn", "dns"]
-    assert by_run["b_hdbscan"]["noise_count"] == 11 and "silhouette" not in by_run["b_hdbscan"]
+    by = {(x["run"], x["cluster"]): x for x in lines}
+    assert {k: x["size"] for k, x in by.items()} == {("a_kmeans", -1): 1, ("a_kmeans", 0): 7, ("a_kmeans", 1): 3, ("b_hdbscan", -1): 11}
+    assert by["a_kmeans", 0]["team"] == "NetOps" and by["a_kmeans", 0]["keywords"] == ["vpn", "dns"]
+    assert "keywords" not in by["a_kmeans", -1] and by["a_kmeans", -1]["silhouette"] == 0.5
+    assert by["b_hdbscan", -1]["noise_count"] == 11 and "silhouette" not in by["b_hdbscan", -1]
 
 
-def test_summary_of_many_clusters_is_flat(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "MAX_CLUSTERS_PER_RECORD", 1)
-    sinks.write_evaluation_summary(*report(spark), str(tmp_path / "sum"))
-    assert spark.read.json(str(tmp_path / "sum")).filter("run = 'a_kmeans'").count() == 2
+def test_summary_has_one_layout_for_any_number_of_clusters(spark):
+    runs = spark.createDataFrame([("r", 0.1, 20_000, 3)], "run string, silhouette double, n_clusters bigint, noise_count bigint")
+    sizes = spark.range(-1, 20_000).selectExpr("'r' AS run", "CAST(id AS INT) AS cluster", "CAST(5 AS BIGINT) AS size")
+    clusters = sizes.filter("cluster >= 0").selectExpr("*", "array('a') AS keywords", "'c' AS category")
+    records = sinks.evaluation_summary(runs, clusters, sizes)
+    assert records.count() == 20_001 and records.filter("cluster = -1 AND category IS NULL").count() == 1
+
+
+def test_repeated_store_entries_give_one_vector(spark, tmp_path):
+    def embed(texts):
+        from pyspark.sql import functions as F
+
+        return texts.select("text_key", F.array(F.length("text").cast("double")).alias("vector"))
+
+    store, df = str(tmp_path / "store"), spark.createDataFrame([(1, "a"), (2, "bb")], "id int, text string")
+    embed_with_store(df, "text", store, "m", embed)
+    spark.read.parquet(f"{store}/model=m").write.mode("append").parquet(f"{store}/model=m")
+    assert stored_vectors(spark, store, "m").count() == 4
+    assert embed_with_store(df, "text", store, "m", embed).count() == 2
+
+
+def test_keys_depend_on_rows_not_on_files(spark, tmp_path):
+    from queuelens.sources.tickets import with_key
+
+    df = spark.createDataFrame([(f"t{i % 40}", i % 7) for i in range(60)], "a string, b int")
+    one, two = (with_key(x, "k").orderBy("k").collect() for x in (df.coalesce(1), df.repartition(5)))
+    assert one == two and [r.k for r in one] == list(range(60))
 
 
 def test_description_lines(spark):

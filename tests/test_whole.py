@@ -46,11 +46,47 @@ def test_full_run_writes_everything(spark, folder, tmp_path):
         assert runs[name].n_clusters == len([r for r in found if r[0] >= 0])
         assert runs[name].noise_count == sum(r[1] for r in found if r[0] == -1)
     assert runs["weighted_kmeans"].n_clusters == 4 and -1 <= runs["weighted_kmeans"].silhouette <= 1
-    assert spark.read.json(str(tmp_path / "out" / "evaluation_summary")).count() == 4
+    summary = spark.read.json(str(tmp_path / "out" / "evaluation_summary"))
+    assert summary.count() == got.sizes.count() and summary.select("run").distinct().count() == 4
     text = spark.read.text(str(tmp_path / "out" / "cluster_descriptions")).filter("value LIKE '### Cluster%'")
     assert text.count() == got.clusters.count()
 
 
+def tables_left(spark):
+    import os
+
+    folder = shared_folder(spark).removeprefix("file:").replace("//", "/")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_a_run_leaves_no_intermediate_table(spark, folder, tmp_path):
+    snapshot = str(tmp_path / "snapshot")
+    tickets(spark, folder).limit(60).write.parquet(snapshot)
+    config = settings({"data": {"path": snapshot}, "imputation": {"max_features": 200, "max_iter": 5},
+                       "clustering": {"kmeans": {"k": 2, "n_init": 1}, "hdbscan": {"min_cluster_size": 5, "min_samples": 3}}})
+    before = tables_left(spark)
+    got = plan.run(spark, config, str(tmp_path / "out"), rules=routing.rule_table(spark, TEST_RULES))
+    assert tables_left(spark) <= before
+    assert got.tickets.count() == 60 and got.runs.count() == 4
+
+
+def test_stream_with_a_model_provider(spark, folder, tmp_path):
+    from queuelens.operators.embed import FunctionEmbedder
+
+    def load():
+        return lambda texts: [[float(len(t)), 1.0] for t in texts]
+
+    config, df = settings(), tickets(spark, folder)
+    embedder = FunctionEmbedder(load, 2, "len", str(tmp_path / "store"))
+    centroids = spark.createDataFrame([(0, [1.0, 1.0]), (1, [1000.0, 1.0])], "cluster int, centroid array<double>")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    query = start_routing(stream, centroids, config, str(tmp_path / "out"), str(tmp_path / "ck"), embedder=embedder)
+    assert query.awaitTermination(120)
+    want = route_tickets(df, centroids, config, embedder=embedder).select(KEY, "cluster")
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).select(KEY, "cluster").collect()) == sorted(want.collect())
+
+
 def test_stream_routes_like_batch(spark, folder, tmp_path):
     config = settings()
     df = tickets(spark, folder)
@@ -73,6 +109,8 @@ def test_sweeps(spark, folder):
     sweep = sweeps.k_sweep(points, KEY, ks=[2, 6, 10], n_init=2)
     rows = {r.k: r for r in sweep.collect()}
     assert rows[2].inertia > rows[6].inertia > rows[10].inertia
+    given = spark.createDataFrame([(2, 3.0, None), (3, 2.0, 0.2), (4, 1.0, 0.5)], sweep.schema)
+    assert tuple(sweeps.recommended_k(given).first()) == (4, 0.5)
     best = sweeps.recommended_k(sweep).first()
     assert best.silhouette == max(r.silhouette for r in rows.values()) and rows[best.k].silhouette == best.silhouette
     plane = sweeps.projection(points, KEY)
@@ -82,9 +120,9 @@ def test_sweeps(spark, folder):
 class Settings:
     """A session that names a checkpoint folder, or none, on a given master."""
 
-    def __init__(self, folder, master):
+    def __init__(self, folder, master, own=None):
         self.conf = self.sparkContext = self
-        self.folder, self.master, self.applicationId = folder, master, "app-probe"
+        self.folder, self.master, self.applicationId, self.own = folder, master, "app-probe", own
 
     def get(self, name, default=None):
         assert name == "spark.checkpoint.dir"
@@ -93,9 +131,13 @@ class Settings:
     def getConf(self):
         return self
 
+    def getCheckpointDir(self):
+        return self.own
+
 
 def test_checkpoint_folder():
     assert shared_folder(Settings("hdfs://x/ck/", "yarn")) == "hdfs://x/ck"
+    assert shared_folder(Settings(None, "yarn", "hdfs://y/own")) == "hdfs://y/own"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Settings(None, "yarn"))
     local = Settings(None, "local[2]")
