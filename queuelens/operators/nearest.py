@@ -34,11 +34,11 @@ def nearer(vector: Column, best: Column, block) -> Column:
     """
 
     @F.pandas_udf("cosine double, cluster int")
-    def score(vectors: pd.Series, cosine: pd.Series, cluster: pd.Series) -> pd.DataFrame:
+    def score(vectors: pd.Series, missing: pd.Series, cosine: pd.Series, cluster: pd.Series) -> pd.DataFrame:
         matrix, names = block.value
         top = cosine.to_numpy(dtype=float, na_value=np.nan).copy()
         name = cluster.astype("Int32").to_numpy(dtype=object, na_value=None).copy()
-        given = np.flatnonzero(vectors.notna().to_numpy())
+        given = np.flatnonzero(~missing.to_numpy(dtype=bool))
         if len(given):
             stack = np.stack(vectors.iloc[given].to_numpy()).astype(float)
             norms = np.linalg.norm(stack, axis=1, keepdims=True)
@@ -50,8 +50,8 @@ def nearer(vector: Column, best: Column, block) -> Column:
             name[given[better]] = names[place[better]]
         return pd.DataFrame({"cosine": pd.array(np.where(pd.isna(name), np.nan, top), dtype="Float64"), "cluster": pd.array(name, dtype="Int32")})
 
-    # Marked so that the planner neither repeats the call nor moves it into a join on its result.
-    return score.asNondeterministic()(vector, best["cosine"], best["cluster"])
+    # The vector is named twice, so the planner computes it before the call and not inside it.
+    return score(vector, vector.isNull(), best["cosine"], best["cluster"])
 
 
 def assign(df: DataFrame, centroids: DataFrame, vector: str = "semantic", block_numbers: int = BLOCK_NUMBERS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from queuelens.functions.lookup import join_lookup
 from queuelens.operators import embed, nearest
 from queuelens.operators.prepare import preprocess
 
+LISTED_ROUTES = 10_000  # as many travel as a literal; more are joined
+
 
 def route_tickets(tickets: DataFrame, centroids: DataFrame, config: dict, routes: DataFrame | None = None, embedder=None) -> DataFrame:
     """Add the nearest cluster and, if ``routes`` is given, its category and team.
@@ -22,7 +26,13 @@ def route_tickets(tickets: DataFrame, centroids: DataFrame, config: dict, routes
     if routes is None:
         return routed
     names = routes.select(F.col("cluster").cast("int"), "category", "team", "automation")
-    return join_lookup(routed, names, "cluster")
+    rows = names.limit(LISTED_ROUTES + 1).collect()
+    if len(rows) > LISTED_ROUTES:
+        return join_lookup(routed, names, "cluster")
+    kind = "map<string,struct<category:string,team:string,automation:boolean>>"
+    table = F.from_json(F.lit(json.dumps({str(r.cluster): r.asDict() for r in rows})), kind)
+    route = F.try_element_at(table, F.col("cluster").cast("string"))
+    return routed.withColumns({c: route[c] for c in ("category", "team", "automation")})
 
 
 def start_routing(tickets: DataFrame, centroids: DataFrame, config: dict, output: str, checkpoint: str, routes: DataFrame | None = None, embedder=None):
