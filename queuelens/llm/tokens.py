@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ FOOT = struct.Struct("<QQQ8s")
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u4"), ("count", "<u4")])
 
 BLOCK_BYTES = 2 << 20
-CACHED_WORDS = 400_000  #: encoded words that a task keeps
+CACHED_WORDS = 700_000  #: encoded words that a task keeps
 SAMPLE_DOCS = 512  #: documents that the dictionary is trained on at most
 SAMPLE_CHARS = 4096  #: characters of each of them; a dictionary only affects the size of the files
 DICTIONARY_BYTES = 32768
@@ -43,34 +44,55 @@ class IdFileError(ValueError):
     """A file of ids breaks its format."""
 
 
+#: The character that stands for each byte in byte-level vocabularies: printable bytes for
+#: themselves, the others for code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)).difference(_PRINTABLE)))
+}
+
+
+def latin_word(word: str) -> str | None:
+    """The word as the model sees it if it is one of Latin letters, lower-cased and composed."""
+    low = word.lower()
+    if len(low) == len(word) and low.isalpha() and max(low) < "\u0250" and unicodedata.is_normalized("NFC", low):
+        return "".join(map(BYTE_CHARACTERS.__getitem__, low.encode()))
+    return None
+
+
 class WordCache(dict):
     """Ids of a word as bytes; the encoder runs once per word.
 
-    Sound for tokenizers that never join what white space parts. Words of a-z, with at most one
-    mark behind, go to the model at once where the tokenizer leaves them as they are.
+    Sound for tokenizers that never join what white space parts. Words of letters, with at most
+    one mark behind, go to the model at once where the tokenizer does no more with them.
     """
 
-    def __init__(self, tokenizer, dtype: str, limit: int = CACHED_WORDS):
+    def __init__(self, tokenizer, width: int, limit: int = CACHED_WORDS):
         super().__init__()
-        self.tokenizer, self.dtype, self.limit = tokenizer, dtype, limit
+        self.tokenizer, self.tokenize, self.limit = tokenizer, tokenizer.model.tokenize, limit
+        self.kind = {2: "H", 4: "I"}[width]
         # What the short cuts assume of a tokenizer; one that differs encodes whole texts.
         apart = self._ids("ab") + self._ids("c,d") + self._ids("\u00e9e") + self._ids(".")
         self.by_word = self._ids("aB C,d\n \tÉe . ") == apart
         self.plain = self._ids("ab,") == self._ids("ab") + self._ids(",") and all(
-            self._ids(w) == [t.id for t in tokenizer.model.tokenize(w)] for w in ("a", "the", "qzxjkv")
+            self._ids(w) == [t.id for t in tokenizer.model.tokenize(latin_word(w))]
+            for w in ("a", "the", "qzxjkv", "Él", "çaß", "ñandú", "ŒUVRE", "ÿþ", "łódź")
         )
 
     def _ids(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
-        if self.plain and word.isalpha() and word.isascii() and word.islower():
-            out = self._pack([t.id for t in self.tokenizer.model.tokenize(word.decode())])
-        elif self.plain and word[-1:] in (b",", b".") and len(word) > 1 and word[:-1].isalpha() and word[:-1].isascii():
+        """``word`` is in lower case as far as it is ASCII."""
+        if self.plain and word.isalpha():  # of bytes: a-z alone
+            out = self._pack([t.id for t in self.tokenize(word.decode())])
+        elif self.plain and word[-1] in b",." and (word[:-1].isalpha() or word[:-1].decode().isalpha()):
             out = self[word[:-1]] + self[word[-1:]]
+        elif self.plain and (seen := latin_word(word.decode())):
+            out = self._pack([t.id for t in self.tokenize(seen)])
         else:
             out = self._pack(self._ids(word.decode()))
         if len(self) >= self.limit:
@@ -93,7 +115,7 @@ def encoder(path: str, width: int) -> WordCache:
     if (path, width) not in _caches:
         from tokenizers import Tokenizer
 
-        _caches[path, width] = WordCache(Tokenizer.from_file(path), f"<u{width}")
+        _caches[path, width] = WordCache(Tokenizer.from_file(path), width)
     return _caches[path, width]
 
 
@@ -112,9 +134,20 @@ def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
         return b""
 
 
-def _with_dictionary(kind, dictionary: bytes, **options):
-    shared = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
-    return kind(**options, **shared)
+LEVEL = 3
+
+
+def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
+    """The dictionary is digested once, not for every document."""
+    if not dictionary:
+        return zstandard.ZstdCompressor(level=LEVEL)
+    shared = zstandard.ZstdCompressionDict(dictionary)
+    shared.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
+
+
+def decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor(**({"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}))
 
 
 def _uri(path: str) -> str:
@@ -173,7 +206,7 @@ def write_ids(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = pafs.FileSystem.from_uri(place)
-        cache, squeeze = encoder(tokenizer, width), _with_dictionary(zstandard.ZstdCompressor, dictionary, level=3)
+        cache, squeeze = encoder(tokenizer, width), compressor(dictionary)
         part, seq, file = TaskContext.get().partitionId(), 0, None
 
         def done():
@@ -216,7 +249,7 @@ class IdFile:
         self.index = np.frombuffer(zstandard.ZstdDecompressor().decompress(self._bytes(at, length)), INDEX)
         if len(self.index) != self.docs:
             raise IdFileError(f"{path}: {len(self.index)} index entries for {self.docs} documents")
-        self.decoder = _with_dictionary(zstandard.ZstdDecompressor, dictionary)
+        self.decoder = decompressor(dictionary)
 
     def _bytes(self, at: int, size: int) -> bytes:
         data = self.handle.read_at(size, at)
