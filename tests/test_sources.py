@@ -154,6 +154,12 @@ def test_insight_lines(spark, folder):
     lines = [r.line for r in sinks.insight_lines(insights(tickets(spark, folder), settings())).collect()]
     assert "**Dataset:** 200 rows x 10 columns" in lines
     assert any(x.startswith("- clustering.hdbscan.min_cluster_size: 30") for x in lines)
+    from queuelens.operators.profile import null_profile
+
+    df = tickets(spark, folder).withColumn("version", F.lit(None).cast("string"))
+    more = [r.line for r in sinks.insight_lines(insights(df, settings()), null_profile(df)).collect()]
+    at = more.index("- **version nulls:** 100.0%")
+    assert more.index("## Minor") < at < more.index("## Suggested settings") and any(x.startswith("- **tag_2 nulls:**") for x in more)
 
 
 def test_spread_keeps_rows(spark, folder):
