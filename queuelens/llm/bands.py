@@ -29,18 +29,19 @@ class Band(NamedTuple):
     high: float
 
 
-#: Limits with room on either side of what prose in Latin script gives at level 3.
+#: Limits with a tenth of room on either side of what prose in Latin script gives at level 3.
 BANDS = (
     Band(0, 0.0, 99.0),
-    Band(200, 0.42, 0.95),
-    Band(500, 0.37, 0.85),
-    Band(1000, 0.33, 0.78),
-    Band(2000, 0.30, 0.72),
-    Band(4000, 0.27, 0.68),
-    Band(16000, 0.22, 0.66),
+    Band(200, 0.46, 0.92),
+    Band(500, 0.45, 0.80),
+    Band(1000, 0.42, 0.72),
+    Band(2000, 0.40, 0.66),
+    Band(4000, 0.375, 0.62),
+    Band(16000, 0.345, 0.58),
+    Band(64000, 0.30, 0.56),
 )
 CHUNK_BYTES = 4096
-CHUNK_LIMITS = (0.25, 0.72)
+CHUNK_LIMITS = (0.36, 0.64)
 CHUNK_SHARE = 0.2  #: of a text's bytes that may lie in chunks beyond the limits
 LEVEL = 3
 
