@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 # Element names of the HTML standard.
@@ -56,6 +57,7 @@ def parse(page: str) -> Page:
     out = Page([-1], ["#root"], [()], [""], [0], [None])
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the node each stands for
     hidden = links = 0
+    open_names: Counter[str] = Counter()
     held: list[str] = []
     linked = 0
 
@@ -80,6 +82,7 @@ def parse(page: str) -> Page:
                 flush()
             hidden -= name in HIDDEN
             links -= name == "a"
+            open_names[name] -= 1
             stack.pop()
 
     def say(raw: str) -> None:
@@ -100,6 +103,8 @@ def parse(page: str) -> Page:
         at = found.end()
         if closing := found[1]:
             name = closing.lower()
+            if not open_names[name]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
                     close(depth)
@@ -116,7 +121,7 @@ def parse(page: str) -> Page:
             continue
         if name not in INLINE:
             flush()
-            while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in INLINE) and any(s[0] == "p" for s in stack):
+            while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in INLINE) and open_names["p"]:
                 close(len(stack) - 1)  # a block ends an open paragraph and what is open in it
         if rule := CLOSES.get(name):
             for depth in range(len(stack) - 1, 0, -1):
@@ -141,6 +146,7 @@ def parse(page: str) -> Page:
             at = end if close_at < 0 else close_at + 1
             continue
         stack.append((name, node))
+        open_names[name] += 1
         hidden += name in HIDDEN
         links += name == "a"
     close(1)
