@@ -26,6 +26,7 @@ from queuelens.llm.common import grouped, texts_of
 EDIT_RATE = 0.05  #: edits per character of an item
 GRAMS = (16, 8)  #: hashed characters of a piece; the shorter is for items that have no longer piece
 MAX_ITEM_CHARS = 8 << 20  #: of a block of items
+MAX_ALL_CHARS = 64 << 20  #: of all items; more raise an error
 BLOCK_BYTES = 2 << 20
 TABLE_BITS = 22
 
@@ -187,7 +188,11 @@ def find_leaks(
     items nothing is found. An item is found if a part of the text is within ``rate`` edits per
     character of it, at most one edit less than it has whole pieces of 16 characters.
     """
-    blocks = prepare([tuple(r) for r in items.select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string")).toLocalIterator()], rate)
+    stated = items.select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string").alias("_item"))
+    size = stated.agg(F.sum(F.char_length("_item"))).first()[0] or 0
+    if size > MAX_ALL_CHARS:
+        raise ValueError(f"{size} characters of items; search them in parts of at most {MAX_ALL_CHARS}")
+    blocks = prepare([tuple(r) for r in stated.collect()], rate)
     spark, out = docs.sparkSession, docs
     hits = F.array().cast("array<struct<item:bigint,edits:int>>")
     for block in blocks:

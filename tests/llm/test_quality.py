@@ -179,6 +179,13 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert leaks.find_leaks(docs, items).first()._items == [1, 2, 6]
 
 
+def test_too_many_items_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "MAX_ALL_CHARS", 100)
+    docs = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="in parts"):
+        leaks.find_leaks(docs, spark.createDataFrame(ITEMS, "item_id bigint, text string"))
+
+
 def test_planted_items_are_found(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = {r.doc_id: set(r.item_ids) for r in queries.op4_decontamination(spark, sf_dir).collect()}
