@@ -24,7 +24,8 @@ from queuelens.llm.common import WORD
 from queuelens.session import materialise
 
 CHUNKS = 1024  #: pieces of a source whose running sums are taken apart from each other
-GROUPS = 64  #: spans of shards whose totals are drawn first, so that they can be drawn side by side
+GROUPS = 1024  #: spans of shards at most, whose totals are drawn first, so that spans can be filled side by side
+SPAN = 4  #: shards of a span at least
 MAX_SOURCES = 10_000  #: sources are listed on the driver; more raise an error
 
 
@@ -155,7 +156,7 @@ def _spans(rows: DataFrame) -> DataFrame:
 def _draws(spark, blocks: list[int], wanted: np.ndarray, shard_slots: int, seed: int) -> DataFrame:
     """(shard, slot, _no, pass, _block): which block fills each slot."""
     shards = -(-int(wanted.sum()) // shard_slots)
-    groups = min(GROUPS, shards)
+    groups = min(GROUPS, -(-shards // SPAN))
     edges = [shards * g // groups for g in range(groups + 1)] if groups else [0]
     rng, left, plan = np.random.default_rng([seed, 0]), wanted.copy(), []
     for g, (a, b) in enumerate(zip(edges, edges[1:])):
@@ -209,7 +210,8 @@ def pieces(mix: Mix, block_words: int) -> DataFrame:
 def taken(mix: Mix, block_words: int = 64) -> DataFrame:
     """(_id, _size, _source, _source_size, _target, _taken): words that the mix takes of each row."""
     times = mix.draws.groupBy("_no", "_block").agg(F.count("*").alias("_times"))
-    used = pieces(mix, block_words).join(times, ["_no", "_block"], "left")
+    # The planner takes the draws for as small as the plan they are made from: never broadcast them.
+    used = pieces(mix, block_words).join(times.hint("merge"), ["_no", "_block"], "left")
     figures = ["_id", "_size", "_source", "_source_size", "_target"]
     words = F.sum((F.col("_upto") - F.col("_from")) * F.coalesce("_times", F.lit(0))).alias("_taken")
     full = used.groupBy("_no", "_start", *figures).agg(words).select(*figures, "_taken")
@@ -222,7 +224,7 @@ def mixed_texts(docs: DataFrame, mix: Mix, block_words: int = 64, doc_id: str =
 
     Runs of words that a pass leaves out are cut from the text; what stays keeps its line breaks.
     """
-    used = pieces(mix, block_words).join(mix.draws.select("_no", "_block", "pass"), ["_no", "_block"])
+    used = pieces(mix, block_words).join(mix.draws.select("_no", "_block", "pass").hint("merge"), ["_no", "_block"])
     part = F.struct((F.col("_from") - F.col("_start")).alias("a"), (F.col("_upto") - F.col("_start")).alias("b"))
     turns = used.groupBy("_no", "_start", "pass", "_id", "_tie", "_source", "_size").agg(F.sort_array(F.collect_list(part)).alias("_parts"))
     parts = turns.groupBy("_id", "_tie", "_source", "_size").agg(F.collect_list("_parts").alias("_turns")).select(
