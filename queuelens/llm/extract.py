@@ -4,8 +4,8 @@ Every node of a page's tree is content or not. A node's own look (element, class
 links, punctuation) and a potential between each child and its parent decide; messages go up
 from the leaves and down from the root (sum-product), which gives each text block's exact
 marginal. The weights are trained on labelled pages: a bounded sample of the table, labelled
-where its markup says what a part is, and the same texts laid out anew in ``LAYOUTS``, pages
-written for this purpose whose parts carry labels.
+where its markup says what a part is, and the same texts laid out anew with many kinds of
+parts, which carry their labels.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from queuelens.llm.dom import Page, parse
 SAMPLE_PAGES = 200  #: pages of the table that the model is trained on at most
 SAMPLE_BYTES = 200_000  #: larger pages are left out of the sample, not of the extraction
 HASH_BITS = 14
-STEPS = 80
-PENALTY = 2e-4
+STEPS = 200
+PENALTY = 1e-5
 BLOCK_BYTES = 2 << 20
 
 # What markup that names its parts says about them; used for labels of sampled pages alone.
@@ -38,24 +38,22 @@ NAMES_OTHER = frozenset(
     "reply login signup pagination pager widget".split()
 )
 
-# Pages written for training. {0}, {1} .. are paragraphs of an article, {a}, {b}, {c}, {d} short
-# texts, {h} a heading; data-content labels a part and all below it.
-LAYOUTS = [
-    '<body><header data-content="0" class="site-header"><a href="/">{a}</a> {b}</header><main data-content="1"><h1>{h}</h1><p>{0}</p><p>{1}</p><p>{2}</p></main><footer data-content="0">{c}</footer></body>',
-    '<body><div id="header" data-content="0">{a}</div><div id="menu" data-content="0"><ul><li><a href="#">{b}</a></li><li><a href="#">{c}</a></li></ul></div><div id="content" data-content="1"><h1>{h}</h1><p>{0}</p><ul><li>{a}</li><li>{b}</li></ul><p>{1}</p></div><div id="footer" data-content="0"><p>{d}</p></div></body>',
-    '<body><div class="cookie-notice" data-content="0"><p>{1}</p><button>OK</button></div><article data-content="1"><h1>{h}</h1><p>{0}</p><blockquote>{2}</blockquote><p>{3}</p></article><section class="comments" data-content="0"><h3>{a}</h3><div class="comment"><p>{1}</p></div><div class="comment"><p>{2}</p></div></section></body>',
-    '<body><div class="wrapper"><div class="sidebar" data-content="0"><h3>{a}</h3><p>{2}</p><ul><li><a href="#">{b}</a></li></ul></div><div class="post" data-content="1"><h2>{h}</h2><div class="entry-content"><p>{0}</p><p>{1}</p><table><tr><td>{a}</td><td>{b}</td></tr></table></div></div></div><div class="footer" data-content="0">{c}</div></body>',
-    '<body><nav data-content="0"><a href="#">{a}</a><a href="#">{b}</a></nav><div class="ad banner" data-content="0">{1}</div><article data-content="1"><h1>{h}</h1><p>{0}</p><aside class="related" data-content="0"><p>{2}</p></aside><p>{3}</p><div class="advert" data-content="0">{1}</div><pre>{2}</pre></article><aside data-content="0"><p>{0}</p></aside><footer data-content="0">{d}</footer></body>',
-    '<body><div class="topbar menu" data-content="0">{a}</div><section class="main-content article-body" data-content="1"><h1>{h}</h1><p>{3}</p><h2>{b}</h2><p>{0}</p><p>{1}</p></section><form data-content="0" class="newsletter subscribe"><p>{d}</p><label>{a}</label></form><div id="comments" data-content="0"><ol><li><p>{2}</p></li><li><p>{0}</p></li></ol></div></body>',
-    '<body><div class="breadcrumb" data-content="0"><a href="#">{a}</a></div><div role="main" data-content="1"><h1>{h}</h1><p>{0}</p><div><p>{1}</p><p>{2}</p></div></div><div class="notice popup" data-content="0">{3}</div><div class="share social" data-content="0"><a href="#">{b}</a></div><div role="contentinfo" class="copyright" data-content="0">{c}</div></body>',
-    '<body><article data-content="1"><header><h1>{h}</h1></header><p>{0}</p><p>{b}</p><p>{1}</p><dl><dt>{a}</dt><dd>{2}</dd></dl></article><div class="promo sponsored" data-content="0"><p>{3}</p></div><div class="reader-comments discussion" data-content="0"><p>{1}</p><p>{a}</p></div><div class="alert message" data-content="0">{2}</div></body>',
-    '<article data-content="1"><p>{0}</p></article>',
-    '<body><article data-content="1"><h1>{h}</h1><p>{1}</p></article><div class="related" data-content="0"><h4>{a}</h4><p>{b}</p></div></body>',
-    '<main data-content="1"><p>{2}</p><form data-content="0"><p>{a}</p><label>{b}</label></form><p>{0}</p></main><form data-content="0"><label>{c}</label><div>{d}</div></form>',
-    '<body><article data-content="1"><h1>{h}</h1><p>{0}</p><aside data-content="0">{a}</aside><form data-content="0">{b}<p>{c}</p></form><nav data-content="0">{d}</nav><p>{1}</p></article></body>',
-    '<div class="page"><div class="article" data-content="1"><p>{3}</p></div></div><div class="notice" data-content="0"><p>{0}</p></div>',
-    '<body><div class="nav" data-content="0">{a} {b}</div><p data-content="1">{0}</p><p data-content="1">{1}</p><p data-content="1">{2}</p><div class="ads" data-content="0"><p>{3}</p></div></body>',
+# Parts that training pages are laid out with: where an article stands, what stands beside it.
+CONTENT_PARTS = (
+    "article;main;div class=content;div id=content;div id=main;div class=post;div class=entry-content;div class=article-body;"
+    "section class=main-content;div role=main;div class=story;div class=text;section class=article;div itemprop=articleBody;"
+    "div class=post-content;td class=main;div class=page-content;div class=body;article class=post;main id=content"
+).split(";")
+OTHER_PARTS = [
+    *"nav;header;footer;aside;form;nav;header;footer;aside;dialog;menu;section class=comments;ol class=comments;ul class=menu;ul class=nav".split(";"),
+    *[f"div class={name}" for name in sorted(NAMES_OTHER)],
+    *[f"div id={name}" for name in sorted(NAMES_OTHER)],
+    *"div class=site-header;div class=site-footer;div class=cookie-notice;div class=cookie-banner;div class=comment-list".split(";"),
+    *"div id=comments;div class=reader-comments;div class=copyright;div class=top-bar;div class=alert;div class=message".split(";"),
+    *"section id=comments;aside class=related;aside class=sidebar;div class=discussion;div class=ad-slot;td class=menu".split(";"),
+    *"div role=navigation;div role=banner;div role=contentinfo;div role=complementary;div class=newsletter-form".split(";"),
 ]
+ROUNDS = 1200  #: pages laid out for training
 
 
 class Model(NamedTuple):
@@ -217,20 +215,77 @@ def fit(pages: list[Page]) -> Model:
     return Model(flat[:size].astype(np.float32), flat[size : size + 4].reshape(2, 2), flat[size + 4 :].reshape(2, 2))
 
 
-def laid_out(pages: list[Page]) -> list[Page]:
-    """The paragraphs of labelled pages in every one of ``LAYOUTS``."""
+def laid_out(pages: list[Page], rounds: int = ROUNDS, seed: int = 7) -> list[Page]:
+    """Pages of the paragraphs of labelled ones, each with an article among other parts.
+
+    Parts carry their label as ``data-content``. Either kind of part is filled with texts of
+    either kind, so that where a text stands tells more than what it says.
+    """
     import html
 
+    rng = np.random.default_rng(seed)
+    pick = lambda items: items[int(rng.integers(0, len(items)))]
+    found: tuple[list[str], list[str]] = ([], [])
+    for page in pages:
+        for text, label in zip(page.texts, labels(page)):
+            if text:
+                found[label].append(html.escape(text[:2000], quote=False))
+    other, good = (part or DEFAULT for part in found)
+
+    def prose() -> str:
+        return pick(good) if rng.random() < 0.85 else pick(other)
+
+    def short() -> str:
+        return " ".join(pick(other if rng.random() < 0.5 else good).split()[: int(rng.integers(1, 8))])
+
+    def wrap(part: str, label: int, inner: str) -> str:
+        name = part.split()[0]
+        cell = name == "td"
+        attributes = part[len(name):].replace("=", '="') + '"' if " " in part else ""
+        out = f'<{name}{attributes} data-content="{label}">{inner}</{name}>'
+        return f"<table><tr>{out}</tr></table>" if cell else out
+
+    def aside() -> str:
+        kinds = [
+            lambda: short(),
+            lambda: f"<p>{prose()}</p>",
+            lambda: f"<h3>{short()}</h3><p>{prose()}</p>",
+            lambda: "<ul>" + "".join(f'<li><a href="#">{short()}</a></li>' for _ in range(int(rng.integers(1, 7)))) + "</ul>",
+            lambda: f'<a href="#">{short()}</a> {short()}',
+            lambda: "".join(f"<div><p>{prose()}</p></div>" for _ in range(int(rng.integers(1, 5)))),
+            lambda: f"<p>{short()}</p><label>{short()}</label>",
+            lambda: "<ol>" + "".join(f"<li><p>{prose()}</p></li>" for _ in range(int(rng.integers(1, 4)))) + "</ol>",
+            lambda: f"{prose()}",
+        ]
+        return wrap(pick(OTHER_PARTS), 0, pick(kinds)())
+
+    def block() -> str:
+        kinds = [
+            lambda: f"<h2>{short()}</h2>",
+            lambda: f"<ul><li>{short()}</li><li>{prose()}</li></ul>",
+            lambda: f"<blockquote>{prose()}</blockquote>",
+            lambda: f"<pre>{short()}</pre>",
+            lambda: f"<table><tr><td>{short()}</td><td>{short()}</td></tr></table>",
+            lambda: f"<p>{short()}</p>",
+            lambda: f"<figure><figcaption>{short()}</figcaption></figure>",
+            lambda: f"<div><p>{prose()}</p></div>",
+        ]
+        return pick(kinds)() if rng.random() < 0.3 else f"<p>{prose()}</p>"
+
     out = []
-    for k, page in enumerate(pages):
-        own = labels(page)
-        good = [html.escape(t, quote=False) for t, y in zip(page.texts, own) if t and y]
-        other = [html.escape(t, quote=False) for t, y in zip(page.texts, own) if t and not y]
-        good, other = good or DEFAULT, other or DEFAULT
-        at = lambda i: good[i % len(good)]
-        short = lambda i: " ".join(other[i % len(other)].split()[: 2 + (i + k) % 6])
-        layout = LAYOUTS[k % len(LAYOUTS)]
-        out.append(parse(layout.format(at(0), at(1), at(2), at(3), a=short(0), b=short(1), c=short(2), d=short(3), h=short(5))))
+    for _ in range(rounds):
+        title = pick([f"<h1>{short()}</h1>", f"<h1>{prose()}</h1>", f"<header><h1>{short()}</h1></header>", ""])
+        inner = title + "".join(block() if rng.random() > 0.12 else aside() for _ in range(int(rng.integers(1, 9))))
+        if rng.random() < 0.3:
+            inner = f"<div>{inner}</div>"
+        if rng.random() < 0.05:  # an article without any part of its own
+            inner = "".join(f'<p data-content="1">{prose()}</p>' for _ in range(int(rng.integers(1, 5))))
+        else:
+            inner = wrap(pick(CONTENT_PARTS), 1, inner)
+        body = "".join(aside() for _ in range(int(rng.integers(0, 4)))) + inner + "".join(aside() for _ in range(int(rng.integers(0, 5))))
+        if rng.random() < 0.3:
+            body = f'<div class="{pick(["wrapper", "container", "page", "site", "row"])}">{body}</div>'
+        out.append(parse(f"<html><body>{body}</body></html>"))
     return out
 
 
@@ -239,7 +294,8 @@ DEFAULT = ["Home", "A sentence of some words, which ends with a stop. And anothe
 
 def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", most: int = SAMPLE_PAGES) -> Model:
     """Train on at most ``most`` pages, those with the least hash of their id, of at most
-    ``SAMPLE_BYTES`` each, and on the layouts. An empty table trains on the layouts alone."""
+    ``SAMPLE_BYTES`` each, and on as many layouts as ``ROUNDS`` says. An empty
+    table trains on layouts alone."""
     small = F.octet_length(html) <= SAMPLE_BYTES
     ids = pages.where(small).select(F.col(page_id).cast("bigint").alias("_id")).where("_id is not null").distinct()
     chosen = [r[0] for r in ids.orderBy(F.xxhash64("_id"), "_id").limit(most).collect()]
@@ -247,9 +303,7 @@ def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", most:
     found.sort(key=lambda r: (r[0], r[1]))
     real = [parse(r[1]) for r in found]
     named = [p for p in real if not SAYS_CONTENT.isdisjoint(p.names)]  # others have no labels
-    base = named or [parse("")]
-    rounds = -(-len(LAYOUTS) * 4 // len(base))
-    return fit([*named, *laid_out([*base, *(base * rounds)[: 4 * len(LAYOUTS)]])])
+    return fit([*named, *laid_out(named)])
 
 
 def texts(pages: list[Page], model: Model) -> list[str]:

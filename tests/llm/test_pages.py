@@ -33,6 +33,10 @@ LONG = [
         "<div id='menu'><ul><li><a href='#'>One</a></li><li><a href='#'>Two</a></li></ul></div><div id='content'><h1>Title of it</h1><p>{0}</p><p>{1}</p><p>{2}</p></div><div id='footer'>Imprint</div>",
         "<article><h1>Title of it</h1><p>{0}</p><script>var a = '<p>no</p>';</script><style>p{{}}</style><!-- <p>no</p> --><p>{1}</p><aside>Read also this</aside><form><input value=x><label>Your mail</label></form><p>{2}</p></article>",
         "<ARTICLE><H1>Title &#111;f it</H1><P CLASS=x>{0}</P><p><b>{1}</b></p><p>  {2}\n\t</p></ARTICLE><div class='cookie-notice'><p>We use cookies, as all do, and ask you to agree to that.</p></div>",
+        "<header>Site name</header><div role='main'><h1>Title of it</h1><p>{0}</p><p>{1}</p><p>{2}</p></div><footer><p>Imprint, and some words on who runs this site.</p></footer>",
+        "<nav><ul><li><a href='#'>One</a></li></ul></nav><article><h1>Title of it</h1><p>{0}</p><div class='ad'>Buy a thing, today only.</div><p>{1}</p><p>{2}</p><nav class='pager'><a href='#'>next</a></nav></article><div class='comments'><p>A reader says that it is so.</p><p>Another one says that it is not.</p></div>",
+        "<div class='wrapper'><div class='post-content'><h1>Title of it</h1><p>{0}</p><p>{1}</p><p>{2}</p></div><div class='sidebar'><h4>Popular</h4><p>Read this too, it is good.</p></div></div>",
+        "<article><h1>Title of it</h1><p>{0}</p><div class='notice'>A notice that has nothing to do with it.</div><p>{1}</p><p>{2}</p><form><p>Leave a reply</p></form></article>",
     ],
 )
 def test_main_text_of_layouts(model, page):
