@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from queuelens.llm import leaks, line_field, mixing, simhash, tokens
 from queuelens.llm.common import table
 from queuelens.llm.queries import BLOCK_WORDS, END_ID, tokenizer_path
-from queuelens.session import materialise
+from queuelens.session import materialise, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +59,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; returns the last one's rows."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
-    return docs
+    with scratch(spark) as keep_last:
+        for name, stage in STAGES:
+            with scratch(spark) as keep:  # what the stage wrote for itself goes
+                docs = keep(materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-")))
+        return keep_last(docs)
 
 
 QUERIES = {"pipeline": run}
