@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from queuelens.llm.common import grouped, texts_of, words
 
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  #: odd, one per hash
-BLOCK_BYTES = 6 << 20  #: text that a task combines at a time
+BLOCK_BYTES = 4 << 20  #: text that a task combines at a time
 NO_ID = np.iinfo(np.int64).max  #: a null id, behind all others
 
 PACKED = "bucket int, known boolean, hashes binary, ids binary"
