@@ -1,7 +1,9 @@
 """Quality rules by compression: zstandard ratios over whole texts and fixed chunks.
 
 A text that repeats itself compresses far better than prose of its length, noise hardly at all;
-what is usual depends on the length, so each class of lengths has limits of its own.
+what is usual depends on the length, so each class of lengths has limits of its own. Limits hold
+for a text's letters, not for its UTF-8: a letter of an alphabet counts as one byte, whatever its
+script, and a sign of a large set (Han, Hangul) as two.
 """
 
 from __future__ import annotations
@@ -22,26 +24,29 @@ BLOCK_BYTES = 4 << 20
 
 
 class Band(NamedTuple):
-    """Limits of compressed / raw bytes for texts of at least ``at_least`` bytes."""
+    """Limits of compressed / raw bytes for texts, or chunks, of at least ``at_least`` bytes.
+
+    ``dense`` takes the place of ``high`` where signs of large sets prevail.
+    """
 
     at_least: int
     low: float
     high: float
+    dense: float
 
 
-#: Limits with a tenth of room on either side of what prose in Latin script gives at level 3.
+#: Limits with room on either side of what prose gives at level 3; English licences set the low ones.
 BANDS = (
-    Band(0, 0.0, 99.0),
-    Band(200, 0.46, 0.92),
-    Band(500, 0.45, 0.80),
-    Band(1000, 0.42, 0.72),
-    Band(2000, 0.40, 0.66),
-    Band(4000, 0.375, 0.62),
-    Band(16000, 0.345, 0.58),
-    Band(64000, 0.30, 0.56),
+    Band(0, 0.0, 99.0, 99.0),
+    Band(200, 0.42, 0.92, 99.0),
+    Band(500, 0.37, 0.80, 0.98),
+    Band(1000, 0.33, 0.72, 0.94),
+    Band(2000, 0.30, 0.66, 0.91),
+    Band(4000, 0.27, 0.62, 0.88),
+    Band(16000, 0.22, 0.58, 0.84),
+    Band(64000, 0.20, 0.56, 0.80),
 )
-CHUNK_BYTES = 4096
-CHUNK_LIMITS = (0.36, 0.64)
+CHUNKS = (Band(4096, 0.27, 0.64, 0.90),)  #: of just this size
 CHUNK_SHARE = 0.2  #: of a text's bytes that may lie in chunks beyond the limits
 LEVEL = 3
 
@@ -72,40 +77,64 @@ def repeated_words(text_words: list[bytes], length: int = 3) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def chunk_share(body: bytes, size: int, chunk: int, limits: tuple[float, float]) -> float:
+def letters(body: bytes) -> tuple[bytes, float]:
+    """A text's letters at one or two bytes each, and how far signs of large sets prevail, 0 to 1.
+
+    Alphabets lie in blocks of 128 code points or less, so seven bits tell their letters apart.
+    """
+    if body.isascii():
+        return body, 0.0
+    code = np.frombuffer(body.decode().encode("utf-32-le"), "<u4")
+    large = (code >= 0x2E80) & ~((code >= 0x3040) & (code < 0x3100))  # beyond alphabets, but not kana
+    lead = np.where(large, code >> 8 & 0xFF, np.where(code < 0x80, code, code & 0x7F | 0x80))
+    size = 1 + large
+    at = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    out[at] = lead
+    out[at[large] + 1] = code[large] & 0xFF
+    return out.tobytes(), min(1.0, 4 * int(large.sum()) / len(out))
+
+
+def within(ratio: float, band: Band, density: float) -> bool:
+    return band.low <= ratio <= band.high + density * (band.dense - band.high)
+
+
+def chunk_share(body: bytes, density: float = 0.0, chunks=CHUNKS) -> float:
     """Share of the bytes that lie in whole chunks with a ratio beyond the limits."""
     squeeze, odd = zstandard.ZstdCompressor(level=LEVEL), 0
-    for at in range(0, len(body) - chunk + 1, chunk):
-        ratio = len(squeeze.compress(body[at : at + chunk])) / chunk
-        odd += not limits[0] <= ratio <= limits[1]
-    return odd * chunk / size if size else 0.0
+    for band in chunks:
+        size = band.at_least
+        for at in range(0, len(body) - size + 1, size):
+            odd += size * (not within(len(squeeze.compress(body[at : at + size])) / size, band, density))
+    return odd / len(body) if body else 0.0
 
 
-def measures(body: bytes, bands=BANDS, chunk: int = CHUNK_BYTES, limits=CHUNK_LIMITS, share: float = CHUNK_SHARE) -> tuple:
+def measures(body: bytes, bands=BANDS, chunks=CHUNKS, share: float = CHUNK_SHARE) -> tuple:
     """A text's row of ``KIND`` without its id."""
     text, w = body.decode(), words(body)
     lines = [line for line in text.split("\n") if line.strip(BLANKS)]
     repeated = repeated_words(w)
     failed = len(w) < 50 or 100 * repeated > 50 * len(w)
-    ratio = len(zstandard.ZstdCompressor(level=LEVEL).compress(body)) / len(body) if body else 0.0
-    band = [b for b in bands if len(body) >= b.at_least][-1]
-    odd = chunk_share(body, len(body), chunk, limits)
-    kept = not failed and band.low <= ratio <= band.high and odd <= share
+    rated, density = letters(body)
+    ratio = len(zstandard.ZstdCompressor(level=LEVEL).compress(rated)) / len(rated) if rated else 0.0
+    band = [b for b in bands if len(rated) >= b.at_least][-1]
+    odd = chunk_share(rated, density, chunks)
+    kept = not failed and within(ratio, band, density) and odd <= share
     chars = len(text) - sum(map(text.count, BLANKS))
     return len(w), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated, failed, ratio, odd, kept
 
 
-def rate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands=BANDS, chunk: int = CHUNK_BYTES, limits=CHUNK_LIMITS, share: float = CHUNK_SHARE) -> DataFrame:
+def rate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands=BANDS, chunks=CHUNKS, share: float = CHUNK_SHARE) -> DataFrame:
     """A row of measures and the verdict per row of ``docs``; one pass, no shuffle.
 
-    A null text has no words, like an empty one: it fails the base rules. ``ratio`` of an empty
-    text is 0. Texts shorter than a chunk have no chunks.
+    A null text has no words, like an empty one: it fails the base rules. ``ratio`` is
+    that of the text's letters, 0 for an empty text. Texts shorter than the least chunk have no chunks.
     """
     names = [c.split()[0] for c in KIND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in grouped(batches, "_text", BLOCK_BYTES):
-            rows = [measures(t, bands, chunk, limits, share) for t in texts_of(block["_text"].combine_chunks())]
+            rows = [measures(t, bands, chunks, share) for t in texts_of(block["_text"].combine_chunks())]
             columns = dict(zip(names, [block["_id"].combine_chunks(), *map(list, zip(*rows))]))
             yield from pa.table(columns).to_batches()
 

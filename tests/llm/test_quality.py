@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -40,6 +41,44 @@ def test_limits_depend_on_length():
     assert [b.at_least for b in bands.BANDS] == sorted(b.at_least for b in bands.BANDS) and lows[1:] == sorted(lows[1:], reverse=True)
 
 
+def licence(name):
+    path = f"/usr/share/common-licenses/{name}"
+    if not os.path.exists(path):
+        pytest.skip(f"no {path}")
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+LICENCES = ["Apache-2.0", "LGPL-3", "MPL-1.1", "MPL-2.0", "GPL-3", "Artistic"]
+
+
+@pytest.mark.parametrize("name", LICENCES)
+def test_plain_english_is_kept(name):
+    assert bands.measures(licence(name).encode())[-1]
+
+
+@pytest.mark.parametrize("first", [0x430, 0x905, 0x10D0], ids=["Cyrillic", "Devanagari", "Georgian"])
+def test_limits_do_not_depend_on_the_bytes_of_a_letter(first):
+    """Prose and repetition written letter by letter in two and three bytes a letter."""
+    other = lambda text: "".join(chr(first + ord(c) - 97) if "a" <= c <= "z" else c for c in text.lower())
+    for name in LICENCES:
+        text = licence(name).lower()
+        plain, changed = bands.measures(text.encode()), bands.measures(other(text).encode())
+        assert plain[-1] and changed[-1]
+        assert abs(plain[6] - changed[6]) < 0.01
+    assert not bands.measures(other("\n".join([licence("Apache-2.0")[2000:2400]] * 40)).encode())[-1]
+
+
+@pytest.mark.parametrize("language", ["ru", "ja", "zh_CN", "zh_TW"])
+def test_real_prose_of_other_scripts_is_within_the_limits(language):
+    path = f"/usr/share/gnupg/help.{language}.txt"
+    if not os.path.exists(path):
+        pytest.skip(f"no {path}")
+    with open(path, encoding="utf-8") as file:
+        text = "\n".join(line for line in file.read().split("\n") if not line.isascii())
+    assert bands.measures(text.encode())[-1]
+
+
 def enumerate_chain(unary, ties):
     """Marginals and log sum over all labelings of one short chain."""
     n = len(unary)
