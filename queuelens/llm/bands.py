@@ -46,7 +46,8 @@ BANDS = (
     Band(16000, 0.22, 0.58, 0.84),
     Band(64000, 0.20, 0.56, 0.80),
 )
-CHUNKS = (Band(4096, 0.27, 0.64, 0.90),)  #: of just this size
+#: Chunks of just these sizes, the largest first.
+CHUNKS = (Band(4096, 0.27, 0.64, 0.90), Band(1024, 0.30, 0.68, 0.92), Band(256, 0.22, 0.88, 99.0))
 CHUNK_SHARE = 0.2  #: of a text's bytes that may lie in chunks beyond the limits
 LEVEL = 3
 
@@ -100,13 +101,18 @@ def within(ratio: float, band: Band, density: float) -> bool:
 
 
 def chunk_share(body: bytes, density: float = 0.0, chunks=CHUNKS) -> float:
-    """Share of the bytes that lie in whole chunks with a ratio beyond the limits."""
-    squeeze, odd = zstandard.ZstdCompressor(level=LEVEL), 0
+    """Share of the bytes that lie in a chunk, of any of the sizes, with a ratio beyond the limits.
+
+    What is left behind the last whole chunk of a size is rated by the chunk that ends the text.
+    """
+    squeeze, odd = zstandard.ZstdCompressor(level=LEVEL), np.zeros(len(body), bool)
     for band in chunks:
         size = band.at_least
-        for at in range(0, len(body) - size + 1, size):
-            odd += size * (not within(len(squeeze.compress(body[at : at + size])) / size, band, density))
-    return odd / len(body) if body else 0.0
+        for at in range(0, len(body), size) if size <= len(body) else ():
+            start = min(at, len(body) - size)
+            ratio = len(squeeze.compress(body[start : start + size])) / size
+            odd[at : at + size] |= not within(ratio, band, density)
+    return float(odd.mean()) if body else 0.0
 
 
 def measures(body: bytes, bands=BANDS, chunks=CHUNKS, share: float = CHUNK_SHARE) -> tuple:

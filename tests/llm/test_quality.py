@@ -36,6 +36,29 @@ def test_repetition_and_noise_are_rejected_and_prose_is_kept():
     assert not verdict(half)  # odd chunks, though the whole may pass
 
 
+def test_noise_and_repetition_in_a_part_are_rejected_at_any_length():
+    r = np.random.default_rng(1)
+    vocabulary = ["".join(r.choice(list("aeioulnrst"), r.integers(2, 9))) for _ in range(3000)]
+    prose = " ".join(r.choice(vocabulary, 5000))
+    noise = "".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 9000))
+    verdict = lambda t: bands.measures(t.encode())[-1]
+    for size in (900, 1300, 2000, 3000, 4095, 4097, 5596, 8191, 8192, 12000, 20000):
+        part = int(0.35 * size)
+        assert verdict(prose[:size])
+        assert not verdict(prose[: size - part] + noise[:part])
+        assert not verdict(noise[:part] + prose[: size - part])
+        assert not verdict(prose[: size // 3] + noise[:part] + prose[size // 3 : size - part])
+    assert not verdict(prose[:4096] + noise[:1500])
+    for size in (4000, 5000, 8191):
+        assert not verdict(prose[: size // 2] + (prose[-60:] * 100)[: size - size // 2])
+
+
+def test_every_byte_is_in_a_chunk():
+    noise = np.random.default_rng(2).bytes(10000)
+    assert bands.chunk_share(noise[:255]) == 0.0
+    assert all(bands.chunk_share(noise[:size]) == 1.0 for size in (256, 257, 1023, 4095, 4096, 5000, 8191, 10000))
+
+
 def test_limits_depend_on_length():
     lows = [b.low for b in bands.BANDS]
     assert [b.at_least for b in bands.BANDS] == sorted(b.at_least for b in bands.BANDS) and lows[1:] == sorted(lows[1:], reverse=True)
