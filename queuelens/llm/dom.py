@@ -19,6 +19,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr input".split()
 )
+#: What may stand in a head; any other start tag, and text, ends one.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: What an opening tag closes, if open, up to the elements that stop the search.
 CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -87,6 +89,8 @@ def parse(page: str) -> Page:
 
     def say(raw: str) -> None:
         nonlocal linked
+        if stack[-1][0] == "head" and raw.strip(" \t\n\f\r"):
+            close(len(stack) - 1)
         if raw and not hidden:
             text = html.unescape(raw) if "&" in raw else raw
             held.append(text)
@@ -115,6 +119,10 @@ def parse(page: str) -> Page:
         if not found[2]:
             continue
         name, attributes = found[2].lower(), found[3]
+        if stack[-1][0] == "head" and name not in IN_HEAD:
+            if name in ("html", "head"):
+                continue  # a repeated one is ignored
+            close(len(stack) - 1)  # </head> and <body> may be left out
         if name in VOID:
             if name in ("br", "hr", "wbr"):
                 held.append(" ") if name == "br" and not hidden else flush() if name == "hr" else None

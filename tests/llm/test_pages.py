@@ -65,6 +65,28 @@ def test_blocks_of_broken_markup(page, blocks):
     assert [t for t in dom.parse(page).texts if t] == blocks
 
 
+@pytest.mark.parametrize(
+    "page,blocks",
+    [
+        ("<html><head><title>T</title><p>a<p>b", ["a", "b"]),
+        ("<head><title>T</title><meta charset=utf-8><link rel=x>\n<style>p {}</style><base href=x>  a <p>b", ["a", "b"]),
+        ("<head><script>x</script><noscript>n</noscript><template><p>no</p></template><!-- c --><img src=x>a", ["a"]),
+        ("<head>\n<head><title>T</title><html></head>a<div>b</div>", ["a", "b"]),
+        ("<head><title>T</title><h1>a</h1></head><body><p>b</p></body>", ["a", "b"]),
+        ("<head><title>T</title>&nbsp;<select><option>x</select>a", ["a"]),
+        ("<head><title>T</title></head>a", ["a"]),
+        ("<head><title>T</title><body>a", ["a"]),
+    ],
+)
+def test_a_head_ends_where_the_page_begins(page, blocks):
+    assert [t for t in dom.parse(page).texts if t] == blocks
+
+
+def test_main_text_without_head_and_body_tags(model):
+    page = "<!DOCTYPE html><html><head><title>T</title><article><h1>Title of it</h1><p>{0}<p>{1}<p>{2}</article>"
+    assert one(model, page.format(*LONG)) == "\n".join(["Title of it", *LONG])
+
+
 def test_deep_and_long_pages_are_read():
     deep = dom.parse("<div>" * 3000 + "x" + "</div>" * 2000)
     assert [t for t in deep.texts if t] == ["x"]
