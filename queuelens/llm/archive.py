@@ -300,5 +300,6 @@ def read_archives(spark: SparkSession, manifest: DataFrame, keep_payload: bool =
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=names)
-    return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+    """Ids go straight into nullable integers: pandas makes ints beside None floats, which hold 53 bits."""
+    columns = dict(zip(names, zip(*rows)))
+    return pd.DataFrame({n: pd.array(c, dtype="Int64") if n in ("page_id", "refers_to") else list(c) for n, c in columns.items()})

@@ -44,6 +44,17 @@ def test_archives_round_trip(spark, tmp_path, least):
     assert sorted(found, key=repr) == sorted(want, key=repr)
 
 
+def test_large_ids_beside_nulls_keep_all_bits(spark, tmp_path):
+    ids = [2**62 + 1, 2**62 + 3, 2**63 - 1, -(2**62) - 1, -(2**63), 2**53 + 1, None, 5]
+    rows = [(key, "u", f"page {i // 2}") for i, key in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    for least in (0, 100):  # with revisits, and with responses alone
+        manifest = archive.write_archives(df, min_bytes=least, folder=f"{tmp_path}/{least}")
+        got = {(r.page_id, r.refers_to) for r in archive.read_archives(spark, manifest).collect()}
+        refers = [None, 2**62 + 1, -(2**62) - 1, None, None, -(2**63), 5, None] if least == 0 else [None] * 8
+        assert got == set(zip(ids, refers))
+
+
 def test_archives_of_empty_table(spark, tmp_path):
     df, _ = pages(spark)
     manifest = archive.write_archives(df.limit(0), folder=str(tmp_path))
