@@ -5,7 +5,8 @@ A mix is a list of slots, dealt over output shards: each shard draws from a mult
 many of its slots come from each source, the weights being what each source still has to give,
 so the totals come out exactly. The j-th slot of a source is block perm(j mod n) of its n
 blocks; perm is a keyed Feistel permutation, another one per pass over the source. Slots and
-blocks meet by a join on the block's index.
+blocks meet by a join on the block's index. The shards are written with their blocks' words;
+what a mix takes of each row is read from them.
 """
 
 from __future__ import annotations
@@ -15,27 +16,32 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from queuelens.functions.lookup import bounded_rows
-from queuelens.llm.common import WORD
+from queuelens.llm.common import WORD, grouped, texts_of, words
 from queuelens.session import materialise
 
 CHUNKS = 1024  #: pieces of a source whose running sums are taken apart from each other
 GROUPS = 1024  #: spans of shards at most, whose totals are drawn first, so that spans can be filled side by side
 SPAN = 4  #: shards of a span at least
+BLOCK_BYTES = 2 << 20
 MAX_SOURCES = 10_000  #: sources are listed on the driver; more raise an error
 
 
 class Mix(NamedTuple):
     """A planned mix: ``spans`` places each row with words on its source's line of words, ``draws``
-    has a row per slot, ``rows`` every row of the input with its source's figures."""
+    has a row per slot, ``rows`` every row of the input with its source's figures. ``shards`` is the
+    mix itself, written by shard and slot: (shard, slot, _no, pass, _block, words, _parts), the parts
+    being the rows' words [a, b) that the block is made of, each row by its ``_start``."""
 
     spans: DataFrame
     draws: DataFrame
     rows: DataFrame
+    shards: DataFrame
 
 
 def word_count(text: Column) -> Column:
@@ -137,7 +143,9 @@ def plan_mix(
     )
     # At most MAX_SOURCES short rows.
     rows = sized.join(F.broadcast(listed), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
-    return Mix(_spans(rows), _draws(spark, blocks, wanted, shard_slots, seed), rows)
+    spans, draws = materialise(_spans(rows), "mix-spans"), materialise(_draws(spark, blocks, wanted, shard_slots, seed), "mix-draws")
+    texts = docs.select(_row(F.col(doc_id), F.col(text), F.col(source)), F.col(text).cast("string").alias("_text"))
+    return Mix(spans, draws, rows, materialise(_shards(texts, spans, draws, block_words), "mix-shards", compression="zstd"))
 
 
 def _spans(rows: DataFrame) -> DataFrame:
@@ -198,23 +206,63 @@ def hash_key(*parts: int) -> int:
     return out
 
 
-def pieces(mix: Mix, block_words: int) -> DataFrame:
+def pieces(spans: DataFrame, block_words: int) -> DataFrame:
     """Each row's part in each block: (_no, _block, _from, _upto) within the source's line of words."""
     first, last = F.floor(F.col("_start") / block_words), F.floor((F.col("_end") - 1) / block_words)
-    cut = mix.spans.withColumn("_block", F.explode(F.sequence(first, last)))
+    cut = spans.withColumn("_block", F.explode(F.sequence(first, last)))
     return cut.withColumn("_from", F.greatest("_start", F.col("_block") * block_words)).withColumn(
         "_upto", F.least("_end", (F.col("_block") + 1) * block_words)
     )
 
 
-def taken(mix: Mix, block_words: int = 64) -> DataFrame:
-    """(_id, _size, _source, _source_size, _target, _taken): words that the mix takes of each row."""
-    times = mix.draws.groupBy("_no", "_block").agg(F.count("*").alias("_times"))
+PART = "shard bigint, slot int, _no int, pass int, _block bigint, _start bigint, a bigint, b bigint"
+
+
+def _shards(texts: DataFrame, spans: DataFrame, draws: DataFrame, block_words: int) -> DataFrame:
+    """The rows of ``Mix.shards``. Slots meet blocks by index first, so that a text moves once to
+    its parts and its words once to their shards."""
+    names = [field.split()[0] for field in PART.split(", ")]
     # The planner takes the draws for as small as the plan they are made from: never broadcast them.
-    used = pieces(mix, block_words).join(times.hint("merge"), ["_no", "_block"], "left")
+    used = pieces(spans, block_words).join(draws.hint("merge"), ["_no", "_block"])
+    used = used.withColumn("a", F.col("_from") - F.col("_start")).withColumn("b", F.col("_upto") - F.col("_start"))
+    asked = used.select(_place("_id", "_tie", "_source"), *names).groupBy("_row").agg(F.collect_list(F.struct(*names)).alias("_asked"))
+    one = texts.withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))).where("_turn = 1")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in grouped(batches, "_text", BLOCK_BYTES):
+            asked, said = block["_asked"].combine_chunks(), []
+            part = asked.flatten()
+            a, b = part.field("a").to_pylist(), part.field("b").to_pylist()
+            at = 0
+            for text, n in zip(texts_of(block["_text"].combine_chunks()), asked.value_lengths().to_pylist()):
+                w = words(text)
+                said += [b" ".join(w[a[i] : b[i]]).decode() for i in range(at, at + n)]
+                at += n
+            columns = {name: part.field(name) for name in names} | {"_said": pa.array(said, pa.string())}
+            yield from pa.table(columns).to_batches()
+
+    said = one.select("_row", "_text").join(asked.hint("merge"), "_row").select("_text", "_asked").mapInArrow(cut, PART + ", _said string")
+    parts = F.sort_array(F.collect_list(F.struct("_start", "a", "b", "_said")))
+    slots = said.repartition("shard").groupBy("shard", "slot", "_no", "pass", "_block").agg(parts.alias("_p"))
+    return slots.select(
+        "shard", "slot", "_no", "pass", "_block", F.array_join("_p._said", " ").alias("words"),
+        F.transform("_p", lambda p: F.struct(p["_start"].alias("_start"), p["a"].alias("a"), p["b"].alias("b"))).alias("_parts"),
+    ).sortWithinPartitions("shard", "slot")
+
+
+def used_parts(mix: Mix) -> DataFrame:
+    """(_no, pass, _start, a, b): the parts of rows that the shards hold, one per slot and row."""
+    return mix.shards.select("_no", "pass", F.explode("_parts").alias("_p")).select("_no", "pass", "_p.*")
+
+
+def taken(mix: Mix, block_words: int = 64) -> DataFrame:
+    """(_id, _size, _source, _source_size, _target, _taken): words that the mix takes of each row.
+
+    The shards tell; ``block_words`` is that of the plan.
+    """
     figures = ["_id", "_size", "_source", "_source_size", "_target"]
-    words = F.sum((F.col("_upto") - F.col("_from")) * F.coalesce("_times", F.lit(0))).alias("_taken")
-    full = used.groupBy("_no", "_start", *figures).agg(words).select(*figures, "_taken")
+    held = used_parts(mix).groupBy("_no", "_start").agg(F.sum(F.col("b") - F.col("a")).alias("_held"))
+    full = mix.spans.join(held.hint("merge"), ["_no", "_start"], "left").select(*figures, F.coalesce("_held", F.lit(0).cast("bigint")).alias("_taken"))
     return full.unionByName(mix.rows.where("_size = 0").select(*figures, F.lit(0).cast("bigint").alias("_taken")))
 
 
@@ -222,16 +270,15 @@ def mixed_texts(docs: DataFrame, mix: Mix, block_words: int = 64, doc_id: str =
     """The mix as documents: a row per document and pass with the words that the pass takes of it,
     the whole text unchanged where that is all. Columns are those of ``docs``.
 
-    Runs of words that a pass leaves out are cut from the text; what stays keeps its line breaks.
+    Which words those are is read from the shards. Runs of words that a pass leaves out are cut
+    from the text; what stays keeps its line breaks.
     """
-    used = pieces(mix, block_words).join(mix.draws.select("_no", "_block", "pass").hint("merge"), ["_no", "_block"])
-    part = F.struct((F.col("_from") - F.col("_start")).alias("a"), (F.col("_upto") - F.col("_start")).alias("b"))
-    turns = used.groupBy("_no", "_start", "pass", "_id", "_tie", "_source", "_size").agg(F.sort_array(F.collect_list(part)).alias("_parts"))
+    held = used_parts(mix).groupBy("_no", "_start", "pass").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("_parts"))
+    turns = mix.spans.join(held.hint("merge"), ["_no", "_start"])
     parts = turns.groupBy("_id", "_tie", "_source", "_size").agg(F.collect_list("_parts").alias("_turns")).select(
-        F.struct(_key(F.col("_id")), "_tie", _key(F.col("_source"))).alias("_row"), F.col("_size").alias("_words"), "_turns"
+        _place("_id", "_tie", "_source"), F.col("_size").alias("_words"), "_turns"
     )
-    row = F.struct(_key(F.col(doc_id).cast("bigint")), F.xxhash64(F.col(text).cast("string")).alias("_tie"), _key(F.col("source").cast("string")))
-    keyed = docs.withColumn("_row", row)
+    keyed = docs.withColumn("_row", _row(F.col(doc_id), F.col(text), F.col("source")))
     one = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))).where("_turn = 1")
     met = one.join(parts, "_row").withColumn("_parts", F.explode("_turns"))
     whole = F.aggregate("_parts", F.lit(0).cast("bigint"), lambda n, p: n + p["b"] - p["a"]) == F.col("_words")
@@ -242,6 +289,16 @@ def mixed_texts(docs: DataFrame, mix: Mix, block_words: int = 64, doc_id: str =
     return out.select(*docs.columns)
 
 
+def _place(doc_id: str, tie: str, source: str) -> Column:
+    return F.struct(_key(F.col(doc_id)), F.col(tie).alias("_tie"), _key(F.col(source))).alias("_row")
+
+
+def _row(doc_id: Column, text: Column, source: Column) -> Column:
+    """What tells a row's documents apart, as ``_place`` does from the plan's columns."""
+    tie = F.xxhash64(text.cast("string")).alias("_tie")
+    return F.struct(_key(doc_id.cast("bigint")), tie, _key(source.cast("string"))).alias("_row")
+
+
 def _key(value: Column) -> Column:
     return F.to_json(F.struct(value.alias("v")))
 

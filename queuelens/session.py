@@ -61,7 +61,7 @@ def new_table_path(spark: SparkSession, name: str) -> str:
 _scratch: list[list[str]] = []  # tables of the open scopes, the innermost last
 
 
-def materialise(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, schema: T.StructType | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage of iterative work, survives the loss of executors, and gives the
@@ -71,7 +71,7 @@ def materialise(df: DataFrame, name: str, schema: T.StructType | None = None) ->
     path = new_table_path(spark, name)
     if _scratch:
         _scratch[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(schema or df.schema).parquet(path)
 
 

@@ -89,6 +89,27 @@ def test_mixed_texts_hold_the_words_taken(spark):
         assert set(brute.words(r.text)) <= set(source[r.doc_id])
 
 
+def test_shards_hold_the_words_of_the_mix(spark):
+    docs = data.documents(spark)
+    plan, got = mixed(spark, docs, block_words=16, shard_slots=32)
+    shards, draws = plan.shards.collect(), plan.draws.collect()
+    key = lambda r: (r.shard, r.slot, r._no, r["pass"], r._block)
+    assert sorted(map(key, shards)) == sorted(map(key, draws)) and len(shards) > 100
+    spans = {(r._no, r._start): r for r in plan.spans.collect()}
+    text = {(r.doc_id, r.source, r._tie): brute.words(r.text) for r in docs.selectExpr("*", "xxhash64(text) AS _tie").collect()}
+    line = {}
+    for (no, start), r in spans.items():
+        line.update({(no, start + i): w for i, w in enumerate(text[r._id, r._source, r._tie])})
+    for r in shards:
+        want = [line[r._no, i] for i in range(r._block * 16, r._block * 16 + 16) if (r._no, i) in line]
+        assert r.words.split(" ") == want and sum(p.b - p.a for p in r._parts) == len(want)
+    assert sum(len(r.words.split(" ")) for r in shards) == sum(r[-1] for r in got)
+    half = plan._replace(shards=plan.shards.where("pass = 0 and shard < 3"))
+    assert sum(r._taken for r in mixing.taken(half, 16).collect()) == sum(len(r.words.split(" ")) for r in shards if r["pass"] == 0 and r.shard < 3)
+    out = mixing.mixed_texts(docs, half, 16).collect()
+    assert sum(len(brute.words(r.text)) for r in out) == sum(r._taken for r in mixing.taken(half, 16).collect())
+
+
 def test_mix_of_empty_tables(spark):
     assert mixed(spark, data.empty(spark))[1] == []
     blank = data.documents(spark).where("text is null or trim(text) = ''")
