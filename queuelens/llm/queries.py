@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queuelens.llm import archive, bands, extract, leaks, line_dedup, line_field, mixing, simhash, tokens, windows
+from queuelens.llm import (
+    archive, bands, extract, leaks, line_dedup, line_field, mixing, sharding, simhash, spelling, tokens, whitening, windows,
+)
 from queuelens.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -153,3 +155,72 @@ def op10_simhash(spark, sf_dir):
         F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         F.col("_component").alias("component_id"),
     )
+
+
+# CRC-32 in SQL: the table of its 256 steps by rule, then a step per byte; results are bitwise inverted.
+CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list(step ORDER BY b) AS steps FROM (SELECT b,
+      list_reduce(list_prepend(b, range(1, 9)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS step
+      FROM (SELECT unnest(range(0, 256)) AS b)))"""
+
+
+def crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8, given ``steps`` of ``CRC_TABLE``."""
+    octets = f"list_transform(range(0, octet_length(encode({text}))), lambda k: CAST('0x' || substr(hex(encode({text})), CAST(2 * k + 1 AS INT), 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c // 256, steps[CAST(xor(c % 256, b) + 1 AS INT)])))"
+
+
+@query(
+    "op11_spelling",
+    f"""
+    WITH RECURSIVE {CRC_TABLE},
+    r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+    c AS (SELECT doc_id, run, CAST(doc_id AS VARCHAR) || ':' || run AS mark, count(*) AS n FROM r GROUP BY doc_id, run),
+    h AS (SELECT run, n, {crc_sql("mark")} AS h FROM c, crc_table),
+    w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) + 2 AS INT)) ELSE run END AS word, n FROM h),
+    v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n, length(word) AS size FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    cut AS MATERIALIZED (SELECT word, n, size, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+      FROM (SELECT word, n, size, unnest(range(1, size + 1)) AS i FROM v)),
+    p AS (SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON b.word = a.head || a.tail
+      UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON b.word = a.head || a.tail),
+    k AS (SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+      row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS place FROM p),
+    f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+      CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n FROM v LEFT JOIN k ON v.word = k.word AND place = 1),
+    paths AS (SELECT word, coalesce(form, word) AS root, form IS NOT NULL AS live FROM f
+      UNION ALL SELECT paths.word, f.form, true FROM paths JOIN f ON paths.root = f.word AND f.form IS NOT NULL WHERE paths.live),
+    ends AS (SELECT paths.word, paths.root FROM paths JOIN f ON paths.root = f.word WHERE f.form IS NULL)
+    SELECT f.word, form, ends.root, n, n_near, form_n FROM f JOIN ends ON f.word = ends.word
+    """,
+)
+def op11_spelling(spark, sf_dir):
+    words = spelling.word_counts(table(spark, sf_dir, "documents"))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+SHARDS = 24
+
+
+@query(
+    "op13_sharding",
+    f"""
+    WITH RECURSIVE {CRC_TABLE},
+    hops AS (SELECT doc_id, CASE WHEN doc_id < 0 THEN CAST(doc_id AS HUGEINT) + 18446744073709551616 ELSE CAST(doc_id AS HUGEINT) END AS state,
+        CAST(0 AS BIGINT) AS hop FROM documents
+      UNION ALL SELECT doc_id, state, CAST(floor((hop + 1) * (CAST(2147483648 AS DOUBLE) / CAST(state // 8589934592 + 1 AS DOUBLE))) AS BIGINT) AS hop
+      FROM (SELECT doc_id, hop, (state * CAST(2862933555777941757 AS HUGEINT) + 1) % CAST(18446744073709551616 AS HUGEINT) AS state FROM hops WHERE hop <= {SHARDS}) t),
+    shards AS (SELECT doc_id, CAST(max(hop) FILTER (WHERE hop < {SHARDS}) AS INT) AS shard, CAST(max(hop) FILTER (WHERE hop <= {SHARDS}) AS INT) AS grown_shard
+      FROM hops GROUP BY doc_id)
+    SELECT d.doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size, CAST({crc_sql("coalesce(text, '')")} AS BIGINT) AS text_crc32,
+      'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY d.doc_id) - 1 AS slot, grown_shard
+    FROM documents d JOIN shards s ON d.doc_id = s.doc_id, crc_table
+    """,
+)
+def op13_sharding(spark, sf_dir):
+    return sharding.shard_texts(table(spark, sf_dir, "documents"), SHARDS)
