@@ -69,21 +69,30 @@ class Fit:
         return len(self.sums)
 
 
-def _limbs(value: int) -> tuple[int, int]:
-    return value >> LIMB, value & ((1 << LIMB) - 1)
-
-
 def _added(rows: DataFrame, run) -> dict[int, int]:
-    """Integers by place: ``run`` gives batches of (place, high, low) a task, Spark adds them up."""
-    parts = rows.mapInArrow(run, "place bigint, high bigint, low bigint")
-    wide = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("high", "low")]
-    return {r["place"]: (int(r["high"]) << LIMB) + int(r["low"]) for r in parts.groupBy("place").agg(*wide).collect()}
+    """Integers by place: ``run`` gives batches of (place, limb, value) a task, Spark adds them up."""
+    parts = rows.mapInArrow(run, "place bigint, limb int, value bigint")
+    total: dict[int, int] = {}
+    for r in parts.groupBy("place", "limb").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value")).collect():
+        total[r["place"]] = total.get(r["place"], 0) + (int(r["value"]) << LIMB * r["limb"])
+    return total
 
 
 def _places(values: np.ndarray) -> pa.RecordBatch:
-    limbs = [_limbs(int(v)) for v in values.ravel()]
-    high, low = (pa.array([x[k] for x in limbs], pa.int64()) for k in (0, 1))
-    return pa.record_batch({"place": pa.array(range(len(limbs)), pa.int64()), "high": high, "low": low})
+    """Whole numbers by place, cut into as many limbs as each needs; the last has the sign."""
+    places, limbs, parts = [], [], []
+    for place, v in enumerate(map(int, values.ravel())):
+        limb = 0
+        while True:
+            low = v & ((1 << LIMB) - 1)
+            last = -(1 << LIMB) <= v < 1 << LIMB
+            places.append(place)
+            limbs.append(limb)
+            parts.append(v if last else low)
+            if last:
+                break
+            v, limb = v >> LIMB, limb + 1
+    return pa.record_batch({"place": pa.array(places, pa.int64()), "limb": pa.array(limbs, pa.int32()), "value": pa.array(parts, pa.int64())})
 
 
 def scatter(different: DataFrame, n: int, width: int) -> Fit:
