@@ -89,7 +89,7 @@ class WordCache(dict):
         """``word`` is in lower case as far as it is ASCII."""
         if self.plain and word.isalpha():  # of bytes: a-z alone
             out = self._pack([t.id for t in self.tokenize(word.decode())])
-        elif self.plain and word[-1] in b",." and (word[:-1].isalpha() or word[:-1].decode().isalpha()):
+        elif self.plain and word[-1] in b",." and (word[:-1].isalpha() or latin_word(word[:-1].decode())):
             out = self[word[:-1]] + self[word[-1:]]
         elif self.plain and (seen := latin_word(word.decode())):
             out = self._pack([t.id for t in self.tokenize(seen)])
