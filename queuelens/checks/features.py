@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from queuelens.checks.sql import CLEAN_SQL, with_tickets, words_sql
 from queuelens.config import settings
 from queuelens.functions import vectors as vx
-from queuelens.operators import embed, fusion, metadata, prepare
+from queuelens.operators import embed, fusion, metadata, prepare, sparse
 from queuelens.plans.ticket_view import tickets
 
 CONFIG = settings()
@@ -72,6 +72,33 @@ def one_hot_wide(spark, folder):
     return rows.select("o_orderkey", F.col("flags.size").cast("bigint").alias("width"), F.col("flags.indices")[0].alias("place"), F.col("flags.values")[0].alias("value"))
 
 
+WIDE = {
+    "operational_features": {"priority_map": {"1-URGENT": 4, "2-HIGH": 3, "3-MEDIUM": 2, "5-LOW": 1}},
+    "data": {"metadata_columns": {"priority": "o_orderpriority", "ticket_type": "o_orderstatus", "product": "o_orderdate", "channel": "o_custkey"}},
+}
+WIDE_SQL = """
+WITH s AS (SELECT o_orderdate AS d, count(*) / (SELECT count(o_orderdate) FROM orders) AS share FROM orders WHERE o_orderdate IS NOT NULL GROUP BY o_orderdate),
+o AS (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 4.0 WHEN '2-HIGH' THEN 3.0 WHEN '3-MEDIUM' THEN 2.0 WHEN '5-LOW' THEN 1.0 ELSE 0.0 END AS prio,
+  dense_rank() OVER (ORDER BY o_orderstatus) AS kind, (SELECT count(DISTINCT o_orderstatus) FROM orders) AS kinds, coalesce(share, 0) AS share,
+  dense_rank() OVER (ORDER BY o_custkey) AS channel FROM orders LEFT JOIN s ON o_orderdate = d),
+r AS (SELECT o_orderkey, kind, kinds, channel, prio / (SELECT max(prio) FROM o) AS prio,
+  (share - (SELECT min(share) FROM o)) / coalesce(nullif((SELECT max(share) - min(share) FROM o), 0), 1) AS share FROM o),
+e AS (SELECT o_orderkey, 0 AS dim, prio AS value FROM r UNION ALL SELECT o_orderkey, kind, 1.0 FROM r
+  UNION ALL SELECT o_orderkey, kinds + 1, share FROM r UNION ALL SELECT o_orderkey, kinds + 1 + channel, 1.0 FROM r)
+SELECT o_orderkey, CAST(dim AS INTEGER) AS dim, round(CAST(value / sqrt(sum(value * value) OVER (PARTITION BY o_orderkey)) AS DOUBLE), 7) AS value FROM e
+QUALIFY round(CAST(value / sqrt(sum(value * value) OVER (PARTITION BY o_orderkey)) AS DOUBLE), 7) <> 0
+"""
+
+
+@query("operational_vectors_wide", WIDE_SQL)
+def operational_vectors_wide(spark, folder):
+    """Priority, status, share of the date and flags of the customer, scaled and at length 1, as entries alone."""
+    rows = sparse.encode_sparse(spark.read.parquet(f"{folder}/orders.parquet"), settings(WIDE))
+    unit = rows.select("o_orderkey", F.explode(sparse.entries_of(sparse.l2_normalised(F.col("operational")))).alias("e"))
+    value = F.round("e.x", 7)
+    return unit.select("o_orderkey", F.col("e.i").cast("int").alias("dim"), value.alias("value")).filter("value <> 0")
+
+
 @query(
     "queue_frequency",
     with_tickets() + "SELECT ticket_id, round(coalesce(count(queue) OVER (PARTITION BY queue) / (SELECT count(queue) FROM tickets), 0), 8) AS share FROM tickets",
