@@ -29,6 +29,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, with underscores in front until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """``docs`` as one struct column ``_given`` beside private columns, whatever its own are called."""
+    return docs.select(F.struct(F.col("*")).alias("_given"), *(key.alias(name) for name, key in keys.items()))
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column; nulls become empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queuelens.llm.common import grouped, texts_of
+from queuelens.llm.common import fresh, grouped, texts_of
 
 EDIT_RATE = 0.05  #: edits per character of an item
 GRAMS = (16, 8)  #: hashed characters of a piece; the shorter is for items that have no longer piece
@@ -75,14 +75,14 @@ def places(item: str) -> dict[str, int]:
 
 def gram_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` (a power of two) characters, doubling the length each round."""
-    h, length, factor = codes.astype(np.uint64), 1, np.uint64(0x9E3779B97F4A7C15)
+    h, length, factor = codes.astype(np.uint64), 1, 0x9E3779B97F4A7C15
     while length < size:
         if len(h) <= length:
             return np.zeros(0, np.uint64)
-        h = h[:-length] * factor + h[length:]
+        h = h[:-length] * np.uint64(factor) + h[length:]
         h ^= h >> np.uint64(31)
         length *= 2
-        factor = factor * np.uint64(0xD6E8FEB86659FD93) + np.uint64(2)
+        factor = (factor * 0xD6E8FEB86659FD93 + 2) % (1 << 64)
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -184,7 +184,8 @@ def find_leaks(
 ) -> DataFrame:
     """``docs`` with ``_items`` (sorted ids of the items found) and ``_distances`` (the edits of each).
 
-    Every row of ``docs`` stays, columns unchanged. Null and empty texts hold no item. Without
+    Every row of ``docs`` stays, columns unchanged; where one has a result's name, the result's gets
+    underscores in front until it is free. Null and empty texts hold no item. Without
     items nothing is found. An item is found if a part of the text is within ``rate`` edits per
     character of it, at most one edit less than it has whole pieces of 16 characters.
     """
@@ -193,13 +194,16 @@ def find_leaks(
     if size > MAX_ALL_CHARS:
         raise ValueError(f"{size} characters of items; search them in parts of at most {MAX_ALL_CHARS}")
     blocks = prepare([tuple(r) for r in stated.collect()], rate)
-    spark, out = docs.sparkSession, docs
+    spark = docs.sparkSession
     hits = F.array().cast("array<struct<item:bigint,edits:int>>")
     for block in blocks:
         look = _searcher(spark.sparkContext.broadcast(block), uuid.uuid4().hex)
         hits = F.concat(hits, look(F.col(text).cast("string")))
-    found = out.withColumn("_found", F.array_sort(hits))
-    return found.withColumn("_items", F.col("_found.item")).withColumn("_distances", F.col("_found.edits")).drop("_found")
+    names = [fresh(name, docs) for name in ("_found", "_items", "_distances")]
+    found = docs.withColumn(names[0], F.array_sort(hits))
+    return found.select(
+        *docs.columns, F.col(names[0]).getField("item").alias(names[1]), F.col(names[0]).getField("edits").alias(names[2])
+    )
 
 
 _opened: dict[str, tuple] = {}

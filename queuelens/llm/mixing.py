@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from queuelens.functions.lookup import bounded_rows
-from queuelens.llm.common import WORD, grouped, texts_of, words
+from queuelens.llm.common import WORD, grouped, packed, texts_of, words
 from queuelens.session import materialise
 
 CHUNKS = 1024  #: pieces of a source whose running sums are taken apart from each other
@@ -266,7 +266,10 @@ def taken(mix: Mix, block_words: int = 64) -> DataFrame:
     return full.unionByName(mix.rows.where("_size = 0").select(*figures, F.lit(0).cast("bigint").alias("_taken")))
 
 
-def mixed_texts(docs: DataFrame, mix: Mix, block_words: int = 64, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
+def mixed_texts(
+    docs: DataFrame, mix: Mix, block_words: int = 64, doc_id: str = "doc_id", text: str = "text",
+    n_chars: str | None = "n_chars", source: str = "source",
+) -> DataFrame:
     """The mix as documents: a row per document and pass with the words that the pass takes of it,
     the whole text unchanged where that is all. Columns are those of ``docs``.
 
@@ -278,15 +281,16 @@ def mixed_texts(docs: DataFrame, mix: Mix, block_words: int = 64, doc_id: str =
     parts = turns.groupBy("_id", "_tie", "_source", "_size").agg(F.collect_list("_parts").alias("_turns")).select(
         _place("_id", "_tie", "_source"), F.col("_size").alias("_words"), "_turns"
     )
-    keyed = docs.withColumn("_row", _row(F.col(doc_id), F.col(text), F.col("source")))
+    keyed = packed(docs, _row=_row(F.col(doc_id), F.col(text), F.col(source)))
     one = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))).where("_turn = 1")
     met = one.join(parts, "_row").withColumn("_parts", F.explode("_turns"))
     whole = F.aggregate("_parts", F.lit(0).cast("bigint"), lambda n, p: n + p["b"] - p["a"]) == F.col("_words")
-    chosen = F.when(whole, F.col(text)).otherwise(_cut(F.col(text), F.col("_parts")))
-    out = met.withColumn(text, chosen)
+    body = F.col("_given").getField(text)
+    out = met.withColumn("_text", F.when(whole, body).otherwise(_cut(body, F.col("_parts"))))
+    changed = {text: F.col("_text")}
     if n_chars in docs.columns:
-        out = out.withColumn(n_chars, F.char_length(text).cast(docs.schema[n_chars].dataType))
-    return out.select(*docs.columns)
+        changed[n_chars] = F.char_length("_text").cast(docs.schema[n_chars].dataType)
+    return out.select(*(changed.get(c, F.col("_given").getField(c)).alias(c) for c in docs.columns))
 
 
 def _place(doc_id: str, tie: str, source: str) -> Column:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from queuelens.llm.common import grouped, texts_of, words
+from queuelens.llm.common import grouped, packed, texts_of, words
 from queuelens.llm.components import component_labels
 from queuelens.session import materialise
 
@@ -222,9 +222,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     """
     found = near_duplicates(docs.select(doc_id, text), doc_id, text, size, radius)
     chosen = found.where(F.col("_id").eqNullSafe(F.col("_component"))).select(_place(F.col("_id"))).distinct()
-    kept = docs.withColumn("_place", _place(F.col(doc_id))).join(chosen, "_place", "left_semi")
-    order = Window.partitionBy("_place").orderBy(F.xxhash64(F.col(text).cast("string")))
-    return kept.withColumn("_turn", F.row_number().over(order)).where("_turn = 1").select(*docs.columns)
+    given = packed(docs, _place=_place(F.col(doc_id)), _tie=F.xxhash64(F.col(text).cast("string")))
+    order = Window.partitionBy("_place").orderBy("_tie")
+    kept = given.join(chosen, "_place", "left_semi").withColumn("_turn", F.row_number().over(order))
+    return kept.where("_turn = 1").select("_given.*")
 
 
 def _place(doc_id: Column) -> Column:
