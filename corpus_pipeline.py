@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuelens.llm import leaks, line_field, mixing, simhash, tokens
-from queuelens.llm.common import table
+from queuelens.llm.common import fresh, table
 from queuelens.llm.queries import BLOCK_WORDS, END_ID, tokenizer_path
 from queuelens.session import materialise, scratch
 
@@ -18,8 +18,9 @@ from queuelens.session import materialise, scratch
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that the line field takes for good ones."""
     field = line_field.learn(docs, table(spark, sf_dir, "labels"))
-    scored = line_field.score(docs, field, column="_score")
-    return scored.where(F.col("_score") >= line_field.THRESHOLD).select(*docs.columns)
+    column = fresh("_score", docs)
+    scored = line_field.score(docs, field, column=column)
+    return scored.where(F.col(column) >= line_field.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that hold no benchmark item."""
     found = leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("_items") == 0).select(*docs.columns)
+    return found.where(F.size(fresh("_items", docs)) == 0).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
