@@ -36,12 +36,14 @@ class Mix(NamedTuple):
     """A planned mix: ``spans`` places each row with words on its source's line of words, ``draws``
     has a row per slot, ``rows`` every row of the input with its source's figures. ``shards`` is the
     mix itself, written by shard and slot: (shard, slot, _no, pass, _block, words, _parts), the parts
-    being the rows' words [a, b) that the block is made of, each row by its ``_start``."""
+    being the rows' words [a, b) that the block is made of, each row by its ``_start``. ``sources``
+    numbers the sources (_no, _name)."""
 
     spans: DataFrame
     draws: DataFrame
     rows: DataFrame
     shards: DataFrame
+    sources: DataFrame
 
 
 def word_count(text: Column) -> Column:
@@ -144,8 +146,10 @@ def plan_mix(
     # At most MAX_SOURCES short rows.
     rows = sized.join(F.broadcast(listed), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
     spans, draws = materialise(_spans(rows), "mix-spans"), materialise(_draws(spark, blocks, wanted, shard_slots, seed), "mix-draws")
-    texts = docs.select(_row(F.col(doc_id), F.col(text), F.col(source)), F.col(text).cast("string").alias("_text"))
-    return Mix(spans, draws, rows, materialise(_shards(texts, spans, draws, block_words), "mix-shards", compression="zstd"))
+    sources = listed.select("_no", "_name")
+    texts = _keyed(docs.select(*_named(F.col(doc_id), F.col(text), F.col(source)), F.col(text).cast("string").alias("_text")), sources)
+    shards = materialise(_shards(texts, spans, draws, block_words), "mix-shards", compression="zstd")
+    return Mix(spans, draws, rows, shards, sources)
 
 
 def _spans(rows: DataFrame) -> DataFrame:
@@ -215,37 +219,64 @@ def pieces(spans: DataFrame, block_words: int) -> DataFrame:
     )
 
 
-PART = "shard bigint, slot int, _no int, pass int, _block bigint, _start bigint, a bigint, b bigint"
+KEY = ["_kind", "_key", "_tie"]  #: tells the rows of a mix apart: source and whether it has an id, id, hash of the text
+ASKED = "shard bigint, slot int, pass int, _start bigint, a int, b int"
+
+
+def _named(doc_id: Column, text: Column, source: Column) -> list[Column]:
+    return [doc_id.cast("bigint").alias("_id"), F.xxhash64(text.cast("string")).alias("_tie"), source.cast("string").alias("_source")]
+
+
+def _key() -> list[Column]:
+    return [(F.col("_no") * 2 + F.col("_id").isNull().cast("int")).alias("_kind"), F.coalesce("_id", F.lit(0)).alias("_key"), F.col("_tie")]
+
+
+def _keyed(docs: DataFrame, sources: DataFrame) -> DataFrame:
+    """``docs`` with (_id, _tie, _source) under the ``KEY`` instead; equal rows once.
+
+    The sources are at most ``MAX_SOURCES`` short rows.
+    """
+    rest = [c for c in docs.columns if c not in ("_id", "_tie", "_source")]
+    found = docs.join(F.broadcast(sources), F.col("_source").eqNullSafe(F.col("_name"))).select(*_key(), *rest)
+    turn = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0)))
+    return found.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
 
 
 def _shards(texts: DataFrame, spans: DataFrame, draws: DataFrame, block_words: int) -> DataFrame:
     """The rows of ``Mix.shards``. Slots meet blocks by index first, so that a text moves once to
-    its parts and its words once to their shards."""
-    names = [field.split()[0] for field in PART.split(", ")]
+    its parts and its words once to their shards. What moves beside texts and words are numbers;
+    a part's block follows from its place."""
+    names = [field.split()[0] for field in ASKED.split(", ")]
+    cut_up = pieces(spans.select(*_key(), "_no", "_start", "_end"), block_words).select(
+        *KEY, "_no", "_block", "_start",
+        (F.col("_from") - F.col("_start")).cast("int").alias("a"), (F.col("_upto") - F.col("_start")).cast("int").alias("b"),
+    )
     # The planner takes the draws for as small as the plan they are made from: never broadcast them.
-    used = pieces(spans, block_words).join(draws.hint("merge"), ["_no", "_block"])
-    used = used.withColumn("a", F.col("_from") - F.col("_start")).withColumn("b", F.col("_upto") - F.col("_start"))
-    asked = used.select(_place("_id", "_tie", "_source"), *names).groupBy("_row").agg(F.collect_list(F.struct(*names)).alias("_asked"))
-    one = texts.withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))).where("_turn = 1")
+    used = cut_up.join(draws.hint("merge"), ["_no", "_block"])
+    asked = used.groupBy(*KEY).agg(F.collect_list(F.struct(*names)).alias("_asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in grouped(batches, "_text", BLOCK_BYTES):
             asked, said = block["_asked"].combine_chunks(), []
-            part = asked.flatten()
+            part, count = asked.flatten(), asked.value_lengths()
             a, b = part.field("a").to_pylist(), part.field("b").to_pylist()
             at = 0
-            for text, n in zip(texts_of(block["_text"].combine_chunks()), asked.value_lengths().to_pylist()):
+            for text, n in zip(texts_of(block["_text"].combine_chunks()), count.to_pylist()):
                 w = words(text)
                 said += [b" ".join(w[a[i] : b[i]]).decode() for i in range(at, at + n)]
                 at += n
-            columns = {name: part.field(name) for name in names} | {"_said": pa.array(said, pa.string())}
+            number = np.repeat(np.asarray(block["_kind"]) // 2, np.asarray(count)).astype(np.int32)
+            columns = {name: part.field(name) for name in names} | {"_no": pa.array(number), "_said": pa.array(said, pa.string())}
             yield from pa.table(columns).to_batches()
 
-    said = one.select("_row", "_text").join(asked.hint("merge"), "_row").select("_text", "_asked").mapInArrow(cut, PART + ", _said string")
+    met = texts.join(asked.hint("merge"), KEY).select("_kind", "_text", "_asked")
+    said = met.mapInArrow(cut, ASKED + ", _no int, _said string")
     parts = F.sort_array(F.collect_list(F.struct("_start", "a", "b", "_said")))
-    slots = said.repartition("shard").groupBy("shard", "slot", "_no", "pass", "_block").agg(parts.alias("_p"))
+    slots = said.repartition("shard").groupBy("shard", "slot", "_no", "pass").agg(parts.alias("_p"))
+    first = F.col("_p")[0]
     return slots.select(
-        "shard", "slot", "_no", "pass", "_block", F.array_join("_p._said", " ").alias("words"),
+        "shard", "slot", "_no", "pass", F.floor((first["_start"] + first["a"]) / block_words).alias("_block"),
+        F.array_join("_p._said", " ").alias("words"),
         F.transform("_p", lambda p: F.struct(p["_start"].alias("_start"), p["a"].alias("a"), p["b"].alias("b"))).alias("_parts"),
     ).sortWithinPartitions("shard", "slot")
 
@@ -278,12 +309,9 @@ def mixed_texts(
     """
     held = used_parts(mix).groupBy("_no", "_start", "pass").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("_parts"))
     turns = mix.spans.join(held.hint("merge"), ["_no", "_start"])
-    parts = turns.groupBy("_id", "_tie", "_source", "_size").agg(F.collect_list("_parts").alias("_turns")).select(
-        _place("_id", "_tie", "_source"), F.col("_size").alias("_words"), "_turns"
-    )
-    keyed = packed(docs, _row=_row(F.col(doc_id), F.col(text), F.col(source)))
-    one = keyed.withColumn("_turn", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(0)))).where("_turn = 1")
-    met = one.join(parts, "_row").withColumn("_parts", F.explode("_turns"))
+    parts = turns.select(*_key(), "_size", "_parts").groupBy(*KEY).agg(F.first("_size").alias("_words"), F.collect_list("_parts").alias("_turns"))
+    named = dict(zip(("_id", "_tie", "_source"), _named(F.col(doc_id), F.col(text), F.col(source))))
+    met = _keyed(packed(docs, **named), mix.sources).join(parts, KEY).withColumn("_parts", F.explode("_turns"))
     whole = F.aggregate("_parts", F.lit(0).cast("bigint"), lambda n, p: n + p["b"] - p["a"]) == F.col("_words")
     body = F.col("_given").getField(text)
     out = met.withColumn("_text", F.when(whole, body).otherwise(_cut(body, F.col("_parts"))))
@@ -293,20 +321,6 @@ def mixed_texts(
     return out.select(*(changed.get(c, F.col("_given").getField(c)).alias(c) for c in docs.columns))
 
 
-def _place(doc_id: str, tie: str, source: str) -> Column:
-    return F.struct(_key(F.col(doc_id)), F.col(tie).alias("_tie"), _key(F.col(source))).alias("_row")
-
-
-def _row(doc_id: Column, text: Column, source: Column) -> Column:
-    """What tells a row's documents apart, as ``_place`` does from the plan's columns."""
-    tie = F.xxhash64(text.cast("string")).alias("_tie")
-    return F.struct(_key(doc_id.cast("bigint")), tie, _key(source.cast("string"))).alias("_row")
-
-
-def _key(value: Column) -> Column:
-    return F.to_json(F.struct(value.alias("v")))
-
-
 @F.pandas_udf(T.StringType())
 def _cut(text: pd.Series, parts: pd.Series) -> pd.Series:
     """The words [a, b) of each part with the white space between them, parts joined by a blank."""
