@@ -1,0 +1,106 @@
+"""What a table's growth may cost: cells, pivots, passes and pairs stay bounded."""
+
+import numpy as np
+import pytest
+
+from queuelens.checks import quality
+from queuelens.operators import kmeans, neighbours, spanning
+from queuelens.operators.neighbours import build, distinct_points, neighbour_lists
+
+
+def frame(spark, vectors):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "ticket_id bigint, vector array<double>")
+
+
+def kruskal(vectors, nodes, core):
+    n, up = len(nodes), list(range(len(nodes)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    rows = []
+    for i in range(n):
+        for j in range(i + 1, n):
+            d = float(np.sqrt(((vectors[i] - vectors[j]) ** 2).sum()))
+            rows.append((max(d, core[i], core[j]), min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), i, j))
+    out = []
+    for w, lo, hi, i, j in sorted(rows):
+        if top(i) != top(j):
+            up[top(i)] = top(j)
+            out.append((int(lo), int(hi), float(w)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("step", [0.0, 0.5])  # whole steps make many equal weights
+def test_tree_of_a_cell_by_bounds(step):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(90, 4)) * 3 + 100
+    vectors = np.round(vectors / step) * step if step else vectors
+    nodes, core = rng.permutation(90).astype(np.int64), rng.integers(0, 4, 90).astype(float)
+    exact = np.sqrt(((vectors[:, None] - vectors[None]) ** 2).sum(-1))
+    low = spanning.lower_distances(vectors)
+    assert (low <= exact).all() and (exact - low <= 1e-3 + 1e-5 * exact).all()
+    lo, hi, weight = spanning.cell_tree(vectors, nodes, core, low)
+    assert sorted(zip(lo.tolist(), hi.tolist(), weight.tolist())) == kruskal(vectors, nodes, core)
+
+
+def test_points_are_placed_in_one_pass(spark, monkeypatch):
+    made, write = [], neighbours.materialise
+    nodes, _ = distinct_points(frame(spark, np.random.default_rng(1).normal(size=(1500, 6))), "ticket_id", "vector")
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name, *a, **b: (made.append(name), write(df, name, *a, **b))[1])
+    cells = build(nodes, cell_rows=50, tables=3)
+    assert made == ["cells", "cell-sizes"]
+    sizes = cells.placed.groupBy("part", "cell").count().collect()
+    assert max(r["count"] for r in sizes) <= 50
+    assert {r.part for r in sizes} == {0, 1, 2} and sum(r["count"] for r in sizes) == 3 * 1500
+
+
+def test_level_points_and_small_samples_are_cut_further(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE_NUMBERS", 60)  # ten points or so
+    vectors = np.random.default_rng(2).normal(size=(600, 2))
+    vectors[:, 1] = np.arange(600) * 1e-13  # almost on a line
+    vectors[:300, 0] = 0.0
+    cells = build(distinct_points(frame(spark, vectors), "ticket_id", "vector")[0], cell_rows=40, tables=2)
+    sizes = cells.placed.groupBy("part", "cell").count().collect()
+    assert max(r["count"] for r in sizes) <= 40 and sum(r["count"] for r in sizes) == 2 * 600
+
+
+def test_a_pivot_meets_few(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MET", 4)
+    vectors = np.random.default_rng(5).normal(size=(300, 8))
+    cells = build(distinct_points(frame(spark, vectors), "ticket_id", "vector")[0], cell_rows=60, tables=4)
+    lists = {r.node: [e.other for e in r.near] for r in neighbour_lists(cells, 5).collect()}
+    d = ((vectors[:, None] - vectors[None]) ** 2).sum(-1)
+    hits = sum(len(set(lists[i][:6]) & set(np.argsort(d[i])[:6].tolist())) for i in range(300))
+    assert hits >= 0.9 * 6 * 300
+
+
+def test_ground_truth_without_a_join(spark):
+    vectors = np.random.default_rng(7).normal(size=(400, 5))
+    points = frame(spark, vectors)
+    found = quality.exact_neighbours(points, points.filter("ticket_id % 10 = 0"), 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    got = sorted((r.node, r.other) for r in found.collect())
+    d = ((vectors[:, None] - vectors[None]) ** 2).sum(-1)
+    assert got == sorted((i, int(j)) for i in range(0, 400, 10) for j in np.argsort(d[i])[1:5])
+
+
+def test_cells_of_the_tree_check_stay_bounded(spark, folder, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "CELL_ROWS", 60)
+    monkeypatch.setattr(quality, "build", lambda nodes, cell_rows: (seen.append(cell_rows), build(nodes, cell_rows))[1])
+    row = quality.density_tree_edges(spark, folder).first()
+    assert seen[0] <= 60 and row.unlinked == 0
+    assert row.edges == spark.read.parquet(f"{folder}/embeddings.parquet").select("embedding").distinct().count() - 1
+
+
+def test_passes_of_centroid_fits_have_few_tasks(spark):
+    points = frame(spark, np.random.default_rng(9).normal(size=(12_000, 3))).repartition(6)
+    with kmeans.features(points, "ticket_id") as rows:
+        assert rows.rdd.getNumPartitions() == 1
+        models = kmeans.best_fits(rows, [2, 4, 3], 2, 1)
+        assert [m.summary.k for m in models] == [2, 4, 3]
+        assert [m.summary.trainingCost for m in models] == [kmeans.best_fit(rows, k, 2, 1).summary.trainingCost for k in (2, 4, 3)]
