@@ -6,7 +6,8 @@ many of its slots come from each source, the weights being what each source stil
 so the totals come out exactly. The j-th slot of a source is block perm(j mod n) of its n
 blocks; perm is a keyed Feistel permutation, another one per pass over the source. Slots and
 blocks meet by a join on the block's index. The shards are written with their blocks' words;
-what a mix takes of each row is read from them.
+what a mix takes of each row is read from them. On their way texts and words are Zstandard frames
+under one dictionary, so that what a shuffle leaves on disk stays below the input.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from queuelens.functions.lookup import bounded_rows
+from queuelens.llm import tokens
 from queuelens.llm.common import WORD, grouped, packed, texts_of, words
 from queuelens.session import materialise
 
@@ -29,6 +31,9 @@ CHUNKS = 1024  #: pieces of a source whose running sums are taken apart from eac
 GROUPS = 1024  #: spans of shards at most, whose totals are drawn first, so that spans can be filled side by side
 SPAN = 4  #: shards of a span at least
 BLOCK_BYTES = 2 << 20
+SAMPLE_DOCS = 1024  #: texts that the dictionary is trained on at most
+SAMPLE_CHARS = 4096  #: characters of each of them; a dictionary only affects the bytes that move
+DICTIONARY_BYTES = 112 << 10
 MAX_SOURCES = 10_000  #: sources are listed on the driver; more raise an error
 
 
@@ -147,8 +152,10 @@ def plan_mix(
     rows = sized.join(F.broadcast(listed), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
     spans, draws = materialise(_spans(rows), "mix-spans"), materialise(_draws(spark, blocks, wanted, shard_slots, seed), "mix-draws")
     sources = listed.select("_no", "_name")
-    texts = _keyed(docs.select(*_named(F.col(doc_id), F.col(text), F.col(source)), F.col(text).cast("string").alias("_text")), sources)
-    shards = materialise(_shards(texts, spans, draws, block_words), "mix-shards", compression="zstd")
+    named = docs.select(*_named(F.col(doc_id), F.col(text), F.col(source)), F.col(text).cast("string").alias("_text"))
+    dictionary = _dictionary(named)
+    texts = _keyed(_squeezed(named, dictionary), sources)
+    shards = materialise(_shards(texts, spans, draws, block_words, dictionary), "mix-shards", compression="zstd")
     return Mix(spans, draws, rows, shards, sources)
 
 
@@ -242,8 +249,27 @@ def _keyed(docs: DataFrame, sources: DataFrame) -> DataFrame:
     return found.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
 
 
-def _shards(texts: DataFrame, spans: DataFrame, draws: DataFrame, block_words: int) -> DataFrame:
-    """The rows of ``Mix.shards``. Slots meet blocks by index first, so that a text moves once to
+def _dictionary(docs: DataFrame) -> bytes:
+    """Trained on the heads of a few texts, empty if they are too few."""
+    heads = docs.select(F.substring("_text", 1, SAMPLE_CHARS).alias("t")).where("t <> ''").limit(SAMPLE_DOCS).collect()
+    return tokens.train([row.t.encode() for row in heads], DICTIONARY_BYTES)
+
+
+def _squeezed(docs: DataFrame, dictionary: bytes) -> DataFrame:
+    """``docs`` with ``_text`` as a Zstandard frame."""
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = tokens.compressor(dictionary).compress
+        for block in grouped(batches, "_text", BLOCK_BYTES):
+            frames = pa.array([encode(text) for text in texts_of(block["_text"].combine_chunks())], pa.binary())
+            yield from block.set_column(block.schema.get_field_index("_text"), "_text", frames).to_batches()
+
+    kinds = ", ".join(f"{name} {'binary' if name == '_text' else kind}" for name, kind in docs.dtypes)
+    return docs.mapInArrow(squeeze, kinds)
+
+
+def _shards(texts: DataFrame, spans: DataFrame, draws: DataFrame, block_words: int, dictionary: bytes) -> DataFrame:
+    """The rows of ``Mix.shards``; ``texts`` are frames, and so are words until their slot is whole. Slots meet blocks by index first, so that a text moves once to
     its parts and its words once to their shards. What moves beside texts and words are numbers;
     a part's block follows from its place."""
     names = [field.split()[0] for field in ASKED.split(", ")]
@@ -256,29 +282,47 @@ def _shards(texts: DataFrame, spans: DataFrame, draws: DataFrame, block_words: i
     asked = used.groupBy(*KEY).agg(F.collect_list(F.struct(*names)).alias("_asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = tokens.compressor(dictionary).compress, tokens.decompressor(dictionary).decompress
         for block in grouped(batches, "_text", BLOCK_BYTES):
             asked, said = block["_asked"].combine_chunks(), []
             part, count = asked.flatten(), asked.value_lengths()
             a, b = part.field("a").to_pylist(), part.field("b").to_pylist()
             at = 0
             for text, n in zip(texts_of(block["_text"].combine_chunks()), count.to_pylist()):
-                w = words(text)
-                said += [b" ".join(w[a[i] : b[i]]).decode() for i in range(at, at + n)]
+                w = words(decode(text))
+                said += [encode(b" ".join(w[a[i] : b[i]])) for i in range(at, at + n)]
                 at += n
             number = np.repeat(np.asarray(block["_kind"]) // 2, np.asarray(count)).astype(np.int32)
-            columns = {name: part.field(name) for name in names} | {"_no": pa.array(number), "_said": pa.array(said, pa.string())}
+            columns = {name: part.field(name) for name in names} | {"_no": pa.array(number), "_said": pa.array(said, pa.binary())}
             yield from pa.table(columns).to_batches()
 
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = tokens.decompressor(dictionary).decompress
+        for batch in batches:
+            place = batch.schema.get_field_index("words")
+            frames, count = batch.column(place).flatten().to_pylist(), batch.column(place).value_lengths().to_pylist()
+            said, size, first, at = [], 0, 0, 0
+            for row, n in enumerate(count, 1):
+                said.append(b" ".join(decode(frame) for frame in frames[at : at + n]).decode())
+                size, at = size + len(said[-1]), at + n
+                if size >= BLOCK_BYTES or row == len(count):
+                    columns = batch.slice(first, row - first).columns
+                    columns[place] = pa.array(said, pa.string())
+                    yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+                    said, size, first = [], 0, row
+
     met = texts.join(asked.hint("merge"), KEY).select("_kind", "_text", "_asked")
-    said = met.mapInArrow(cut, ASKED + ", _no int, _said string")
+    said = met.mapInArrow(cut, ASKED + ", _no int, _said binary")
     parts = F.sort_array(F.collect_list(F.struct("_start", "a", "b", "_said")))
     slots = said.repartition("shard").groupBy("shard", "slot", "_no", "pass").agg(parts.alias("_p"))
     first = F.col("_p")[0]
-    return slots.select(
+    framed = slots.select(
         "shard", "slot", "_no", "pass", F.floor((first["_start"] + first["a"]) / block_words).alias("_block"),
-        F.array_join("_p._said", " ").alias("words"),
+        F.col("_p._said").alias("words"),
         F.transform("_p", lambda p: F.struct(p["_start"].alias("_start"), p["a"].alias("a"), p["b"].alias("b"))).alias("_parts"),
     ).sortWithinPartitions("shard", "slot")
+    kinds = ", ".join(f"{name} {'string' if name == 'words' else kind}" for name, kind in framed.dtypes)
+    return framed.mapInArrow(whole, kinds)
 
 
 def used_parts(mix: Mix) -> DataFrame:

@@ -110,6 +110,19 @@ def test_shards_hold_the_words_of_the_mix(spark):
     assert sum(len(brute.words(r.text)) for r in out) == sum(r._taken for r in mixing.taken(half, 16).collect())
 
 
+def test_texts_and_words_move_as_frames(spark, monkeypatch):
+    seen, keyed, shards = [], mixing._keyed, mixing._shards
+    monkeypatch.setattr(mixing, "_keyed", lambda docs, sources: seen.append(docs) or keyed(docs, sources))
+    monkeypatch.setattr(mixing, "_shards", lambda *args: seen.append(shards(*args)) or seen[-1])
+    body = [" ".join(f"{'some words that many texts share'} {(i * 37 + k) % 101}" for k in range(60)) for i in range(200)]
+    docs = spark.createDataFrame([(i, t, f"s{i % 3}") for i, t in enumerate(body)] + [(200, None, "s0"), (201, "", None)], "doc_id bigint, text string, source string")
+    plan = mixing.plan_mix(docs, block_words=16, shard_slots=32)
+    texts, said = seen
+    assert dict(texts.dtypes)["_text"] == "binary" and "_said#" in said._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(len(r._text) for r in texts.collect()) < 0.3 * sum(map(len, body))
+    assert sum(len(r.words.split(" ")) for r in plan.shards.collect()) == sum(r._taken for r in mixing.taken(plan, 16).collect()) > 0
+
+
 def test_mix_of_empty_tables(spark):
     assert mixed(spark, data.empty(spark))[1] == []
     blank = data.documents(spark).where("text is null or trim(text) = ''")
