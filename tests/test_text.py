@@ -50,6 +50,21 @@ def test_ngrams_and_counts(spark):
     assert [[tuple(e) for e in r.c] for r in rows] == [[("a", 1), ("b", 2)], [("x", 1)], []]
 
 
+def test_runs_are_not_cut_out_one_by_one(spark):
+    df = spark.createDataFrame([("a b c d".split(),), ("a b".split(),), (["a"],), ([],), (None,)], "w array<string>")
+    got = [r.g for r in df.select(tx.ngrams(F.col("w"), 2, 3).alias("g")).collect()]
+    assert got == [["a b", "b c", "c d", "a b c", "b c d"], ["a b"], [], [], None]
+    plan = df.select(tx.ngrams(F.col("w"), 1, 2))._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "zip_with(" in plan
+
+
+def test_a_term_occurrence_is_one_row(spark):
+    df = spark.createDataFrame([(["b", "a", "b"],), (["b"],), ([],), (None,)], "terms array<string>")
+    found = tfidf.listed_frequencies(df)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 1, 1), ("b", 3, 2)]
+    assert "array_distinct" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def brute_tfidf(docs, sublinear, max_features):
     tokens = {k: re.findall(r"\w\w+", t.lower()) for k, t in docs.items()}
     total, df = {}, {}
