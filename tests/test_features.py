@@ -125,3 +125,13 @@ def test_precomputed_rows_without_vector_get_zeros(spark):
     provider = embed.embedder_for(config, table=table)
     got = {r.ticket_id: r.semantic for r in embed.generate_embeddings(df, config, provider).collect()}
     assert got == {1: [0.5, 0.5], 2: [0, 0]}
+
+
+def test_word_vectors_are_fitted_in_no_more_parts_than_cores(spark, monkeypatch):
+    seen, made = [], embed.Word2Vec
+    monkeypatch.setattr(embed, "Word2Vec", lambda **options: seen.append(options["numPartitions"]) or made(**options))
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame([(i, f"one two three {i % 3}") for i in range(5 * cores)], "ticket_id bigint, text string")
+    for rows, want in ((1, cores), (10 * cores, 1)):
+        out = embed.Word2VecEmbedder(dim=4, min_count=1, rows_per_task=rows).add(df, "text", "semantic")
+        assert out.count() == 5 * cores and seen.pop() == want
