@@ -27,7 +27,7 @@ EDIT_RATE = 0.05  #: edits per character of an item
 GRAMS = (16, 8)  #: hashed characters of a piece; the shorter is for items that have no longer piece
 MAX_ITEM_CHARS = 8 << 20  #: of a block of items
 MAX_ALL_CHARS = 64 << 20  #: of all items; more raise an error
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 256 << 10  #: of texts hashed at once, which takes about 50 times as much memory
 TABLE_BITS = 22
 
 _OTHER = re.compile(r"[\W_]+")

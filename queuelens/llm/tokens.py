@@ -33,7 +33,8 @@ FOOT = struct.Struct("<QQQ8s")
 INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u4"), ("count", "<u4")])
 
 BLOCK_BYTES = 2 << 20
-CACHED_WORDS = 700_000  #: encoded words that a task keeps
+CACHED_WORDS = 250_000  #: encoded words that a task keeps, met at least twice
+NEW_WORDS = 60_000  #: encoded words met once that wait for their second time
 SAMPLE_DOCS = 512  #: documents that the dictionary is trained on at most
 SAMPLE_CHARS = 4096  #: characters of each of them; a dictionary only affects the size of the files
 DICTIONARY_BYTES = 32768
@@ -61,15 +62,18 @@ def latin_word(word: str) -> str | None:
 
 
 class WordCache(dict):
-    """Ids of a word as bytes; the encoder runs once per word.
+    """Ids of a word as bytes; the encoder runs once per word, as long as it is kept.
 
+    Most different words of a corpus occur once. They wait in a short list and are kept only if
+    they come again before that list is full, so a worker holds the words that are worth it.
     Sound for tokenizers that never join what white space parts. Words of letters, with at most
     one mark behind, go to the model at once where the tokenizer does no more with them.
     """
 
-    def __init__(self, tokenizer, width: int, limit: int = CACHED_WORDS):
+    def __init__(self, tokenizer, width: int, limit: int = CACHED_WORDS, new: int = NEW_WORDS):
         super().__init__()
         self.tokenizer, self.tokenize, self.limit = tokenizer, tokenizer.model.tokenize, limit
+        self.new, self.most_new = {}, new
         self.kind = {2: "H", 4: "I"}[width]
         # What the short cuts assume of a tokenizer; one that differs encodes whole texts.
         apart = self._ids("ab") + self._ids("c,d") + self._ids("\u00e9e") + self._ids(".")
@@ -87,6 +91,12 @@ class WordCache(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         """``word`` is in lower case as far as it is ASCII."""
+        out = self.new.pop(word, None)
+        if out is not None:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = out
+            return out
         if self.plain and word.isalpha():  # of bytes: a-z alone
             out = self._pack([t.id for t in self.tokenize(word.decode())])
         elif self.plain and word[-1] in b",." and (word[:-1].isalpha() or latin_word(word[:-1].decode())):
@@ -95,9 +105,9 @@ class WordCache(dict):
             out = self._pack([t.id for t in self.tokenize(seen)])
         else:
             out = self._pack(self._ids(word.decode()))
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = out
+        if len(self.new) >= self.most_new:
+            self.new.clear()
+        self.new[word] = out
         return out
 
 

@@ -168,3 +168,25 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.collect() == [] and tokens is not None
+
+
+def test_pipeline_hands_python_small_batches(spark):
+    import corpus_pipeline as cp
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    before = spark.conf.get(cp.ARROW_BYTES, None)
+    spark.conf.unset(cp.ARROW_BYTES)
+    try:
+        docs = spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+        stage = cp.small_batches(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "n bigint"))
+        assert max(r.n for r in stage(spark, docs, "").collect()) < 2 * cp.MAX_ARROW_BYTES
+        spark.conf.set(cp.ARROW_BYTES, "1000000")
+        assert max(r.n for r in stage(spark, docs, "").collect()) < 2_000_000
+    finally:
+        spark.conf.unset(cp.ARROW_BYTES)
+        if before is not None:
+            spark.conf.set(cp.ARROW_BYTES, before)

@@ -262,3 +262,16 @@ def test_myers_distance_equals_the_plain_table():
         a = "".join(r.choice(list("abc"), r.integers(1, 90)))
         b = "".join(r.choice(list("abc"), r.integers(0, 120)))
         assert leaks.distance(leaks.places(a), len(a), b) == brute.edit_distance_within(a, b)
+
+
+def test_leaks_hash_little_text_at_once():
+    import tracemalloc
+
+    blocks = leaks.prepare([(i, t) for i, (_, t) in enumerate(ITEMS)])
+    flags = {g: np.unpackbits(f).astype(bool) for g, (_, _, f) in blocks[0].grams.items()}
+    texts = ["plain words of a long text " * (leaks.BLOCK_BYTES // 27)]
+    tracemalloc.start()
+    leaks.search(texts, blocks[0], flags, {})
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 32 << 20

@@ -22,3 +22,15 @@ def test_words_of_any_letters_and_marks():
         if list(struct.unpack(f"<{len(got) // 2}H", got)) != tokenizer.encode(word, add_special_tokens=False).ids:
             wrong.append(word)
     assert not wrong
+
+
+def test_words_met_once_are_not_kept():
+    """Most words of a corpus occur once; a worker keeps those that come again."""
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    cache = tokens.WordCache(tokenizer, 2, limit=50, new=300)
+    for i in range(2_000):
+        for word in (f"once{i}", f"often{i % 20}"):
+            got = cache[word.encode()]
+            assert list(struct.unpack(f"<{len(got) // 2}H", got)) == tokenizer.encode(word, add_special_tokens=False).ids
+        assert len(cache) <= 50 and len(cache.new) <= 300
+    assert set(cache) == {f"often{i}".encode() for i in range(20)}
