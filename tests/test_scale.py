@@ -1,6 +1,7 @@
 """What a table's growth may cost: cells, pivots, passes and pairs stay bounded."""
 
 import numpy as np
+from pyspark.ml.clustering import KMeans
 import pytest
 
 from queuelens.checks import quality
@@ -104,3 +105,23 @@ def test_passes_of_centroid_fits_have_few_tasks(spark):
         models = kmeans.best_fits(rows, [2, 4, 3], 2, 1)
         assert [m.summary.k for m in models] == [2, 4, 3]
         assert [m.summary.trainingCost for m in models] == [kmeans.best_fit(rows, k, 2, 1).summary.trainingCost for k in (2, 4, 3)]
+
+
+def test_all_fits_move_in_one_pass(spark, monkeypatch):
+    """Lloyd's steps give what MLlib's own give, in a pass a step however many fits there are."""
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(size=(60, 3)) + 6 * c for c in rng.normal(size=(5, 3))] + [np.ones((40, 3))])
+    passes, sums = [], kmeans.RDD.mapPartitions
+    monkeypatch.setattr(kmeans.RDD, "mapPartitions", lambda self, *a, **b: passes.append(1) or sums(self, *a, **b))
+    with kmeans.features(frame(spark, x), "ticket_id") as rows:
+        own = {(k, i): KMeans(k=k, seed=7 + i, maxIter=300, tol=1e-4, solver="block").fit(rows) for k in (2, 5) for i in range(3)}
+        want = {k: min((own[k, i] for i in range(3)), key=lambda m: m.summary.trainingCost) for k in (2, 5)}
+        for small in (10**6, 0):
+            monkeypatch.setattr(kmeans, "SMALL_NUMBERS", small)
+            passes.clear()
+            for k, fit in zip((2, 5), kmeans.best_fits(rows, (2, 5), 3, 7)):
+                assert np.allclose(np.stack(fit.clusterCenters()), np.stack(want[k].clusterCenters()))
+                assert abs(fit.summary.trainingCost - want[k].summary.trainingCost) < 1e-6
+                both = [{r.ticket_id: r.prediction for r in m.transform(rows).collect()} for m in (fit, want[k])]
+                assert both[0] == both[1]
+            assert small or len(passes) <= 1 + max(m.summary.numIter for m in own.values())
