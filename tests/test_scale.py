@@ -7,6 +7,7 @@ import pytest
 from queuelens.checks import quality
 from queuelens.operators import kmeans, neighbours, spanning
 from queuelens.operators.neighbours import build, distinct_points, neighbour_lists
+from queuelens.session import TIDY, materialise
 
 
 def frame(spark, vectors):
@@ -125,3 +126,28 @@ def test_all_fits_move_in_one_pass(spark, monkeypatch):
                 both = [{r.ticket_id: r.prediction for r in m.transform(rows).collect()} for m in (fit, want[k])]
                 assert both[0] == both[1]
             assert small or len(passes) <= 1 + max(m.summary.numIter for m in own.values())
+
+
+def test_a_search_in_shares_moves_less_and_finds_the_same(spark, monkeypatch):
+    x = np.random.default_rng(12).normal(size=(600, 4))
+    nodes, _ = distinct_points(frame(spark, x), "ticket_id", "vector")
+    cells, names, write = build(nodes, cell_rows=60, tables=4), [], neighbours.materialise
+    whole = {r.node: r.near for r in neighbour_lists(cells, 5).collect()}
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name: names.append(name) or write(df, name))
+    monkeypatch.setattr(neighbours, "MOVED_NUMBERS", 3 * 600 * 4)  # three partitions at once
+    assert {r.node: r.near for r in neighbour_lists(cells, 5).collect()} == whole
+    # A pivot meets up to 2 * MET points, so a round takes 8 shares.
+    assert names.count("found") == 2 and names.count("met") == 8 * (names.count("graph") - 1) > 0
+
+
+def test_shuffle_files_go_with_the_step_that_made_them(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        every = disk.getAllFiles()
+        return {n for n in (every.apply(i).getName() for i in range(every.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before = files()
+    made = materialise(spark.range(2000).repartition(3, "id"), "tidy")
+    assert not files() - before
+    assert made.count() == 2000 and spark.conf.get(TIDY) == "false"
